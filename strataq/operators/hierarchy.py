@@ -34,7 +34,7 @@ from strataq.operators.current import current_rows
 from strataq.session import durable
 
 #: Links that one task's forest holds.
-LINKS_PER_TASK = 400_000
+LINKS_PER_TASK = 100_000
 #: Contraction that leaves more than this share of the links is replaced by doubling.
 POOR = 0.7
 
