@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from strataq.plans import problems
+from strataq.plans import link_queries, problems, text_queries
 
-_MODULES = (problems,)
+_MODULES = (problems, text_queries, link_queries)
 
 
 def queries() -> dict:
