@@ -55,33 +55,70 @@ def _shingles(items: list[list[str]], size: int, words: int) -> dict[tuple[str,
     return ids
 
 
+def _table(ids: dict[tuple[str, ...], int], vocabulary: dict[str, int], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.uint64]:
+    """Shingles as rows of word numbers, sorted by a hash that tells them apart."""
+    rows = np.array([[vocabulary[w] for w in s] for s in ids], np.int64).reshape(-1, size)
+    sids = np.fromiter(ids.values(), np.int32, len(ids))
+    factor = 0x9E3779B97F4A7C15
+    while True:
+        h = _rolled([rows[:, j] for j in range(size)], np.uint64(factor))
+        if len(np.unique(h)) == len(h):
+            order = np.argsort(h)
+            return h[order], rows[order], sids[order], np.uint64(factor)
+        factor = (factor * 6364136223846793005 + 1442695040888963407) & 0xFFFFFFFFFFFFFFFF | 1
+
+
+def _rolled(columns: list[np.ndarray], factor: np.uint64) -> np.ndarray:
+    h = columns[0].astype(np.uint64)
+    for c in columns[1:]:
+        h = h * factor + c.astype(np.uint64)
+    return h
+
+
 def _hits(texts: DataFrame, ids: dict[tuple[str, ...], int], size: int, least: int) -> DataFrame:
     """(doc_id, n_words, at, sid): where item shingles lie in each text."""
     vocabulary = {w: i for i, w in enumerate(dict.fromkeys(w for s in ids for w in s))}
-    coded = {tuple(vocabulary[w] for w in s): i for s, i in ids.items()}
+    hashes, rows, sids, factor = _table(ids, vocabulary, size)
+
+    def found(codes: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Places and shingles in a batch of texts, which stand apart by unknown words."""
+        code = np.array(codes, np.int64)
+        known = np.cumsum(np.concatenate([[0], code >= 0]))
+        at = np.flatnonzero(known[size:] - known[:-size] == size)
+        if not len(at) or not len(hashes):
+            return at[:0], sids[:0]
+        parts = [code[at + j] for j in range(size)]
+        i = np.minimum(np.searchsorted(hashes, h := _rolled(parts, factor)), len(hashes) - 1)
+        same = hashes[i] == h
+        for j, p in enumerate(parts):
+            same &= rows[i, j] == p
+        return at[same], sids[i[same]]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        apart = [-1] * size
         for b in batches:
-            out: list[list] = [[], [], [], []]
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            codes: list[int] = []
+            begins, lens, kept = [], [], []
+            for k, text in enumerate(b.column(1).to_pylist()):
                 w = words_of(text)
-                if len(w) < least:
-                    continue
-                code = np.fromiter(map(vocabulary.get, w, repeat(-1)), np.int32, len(w))
-                # Starts of runs of item words that are long enough for a shingle.
-                known = np.concatenate([[0], np.cumsum(code >= 0)])
-                starts = np.flatnonzero(known[size:] - known[:-size] == size)
-                at, sid = [], []
-                for i in starts.tolist():
-                    found = coded.get(tuple(code[i : i + size].tolist()))
-                    if found is not None:
-                        at.append(i)
-                        sid.append(found)
-                if at:
-                    for c, v in zip(out, (doc, len(w), at, sid), strict=True):
-                        c.append(v)
+                if len(w) >= least:
+                    begins.append(len(codes))
+                    lens.append(len(w))
+                    kept.append(k)
+                    codes.extend(map(vocabulary.get, w, repeat(-1)))
+                    codes.extend(apart)
+            at, sid = found(codes) if codes else (np.zeros(0, np.int64), sids[:0])
+            doc = np.searchsorted(np.array(begins, np.int64), at, "right") - 1
+            own, first = np.unique(doc, return_index=True)
+            place = (at - np.array(begins, np.int64)[doc]).astype(np.int32)
+            offsets = pa.array(np.append(first, len(at)).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out[0], b.column(0).type), pa.array(out[1], pa.int32()), pa.array(out[2], pa.list_(pa.int32())), pa.array(out[3], pa.list_(pa.int32()))],
+                [
+                    b.column(0).take(pa.array(np.array(kept, np.int64)[own])),
+                    pa.array(np.array(lens, np.int32)[own]),
+                    pa.ListArray.from_arrays(offsets, pa.array(place)),
+                    pa.ListArray.from_arrays(offsets, pa.array(sid)),
+                ],
                 names=["doc_id", "n_words", "at", "sid"],
             )
 

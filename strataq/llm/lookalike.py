@@ -129,9 +129,12 @@ class Reader:
         return unicodedata.normalize("NFC", _WORD.sub(lambda m: self.word(m.group()), apart))
 
 
+_ACTIVE = re.compile(ACTIVE)
+
+
 def fold(text: str) -> str:
     """The looks alone, for comparisons within one job: the first Latin letter of each look."""
-    if text.isascii():
+    if text.isascii() or not _ACTIVE.search(text):
         return text
     plain, _, first = _tables()
     return unicodedata.normalize("NFC", unicodedata.normalize("NFD", text).translate(plain).translate(first))
