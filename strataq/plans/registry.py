@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from strataq.plans import link_queries, problems, text_queries
+from strataq.plans import link_queries, problems, quality_queries, text_queries
 
-_MODULES = (problems, text_queries, link_queries)
+_MODULES = (problems, text_queries, link_queries, quality_queries)
 
 
 def queries() -> dict:
