@@ -175,10 +175,22 @@ def _leaks_of(spark, texts: DataFrame, block: list, words: int, shingle: int, it
     )
     # A shingle that no text holds rules its window out.
     prefix = rarest.filter(F.col("known") == span).select("k", "sids", "p.sid", "p.offset")
-    at = hits.select("doc_id", "n_words", "at", F.col("sid").alias("has"), F.posexplode("sid").alias("i", "sid"))
-    near = at.join(prefix, "sid").withColumn("start", F.element_at("at", F.col("i") + 1) - F.col("offset"))
+    # Each hit takes along only the hits that a window around it can have: a long text stays linear.
+    begin = lambda i: F.greatest(i - (span - 1), F.lit(0))
+    reach = 2 * span - 1
+    local = F.transform(
+        F.sequence(F.lit(0), F.size("sid") - 1),
+        lambda i: F.struct(
+            F.element_at("sid", i + 1).alias("sid"),
+            (i - begin(i)).alias("i"),
+            F.slice("sid", begin(i) + 1, F.lit(reach)).alias("has"),
+            F.slice("at", begin(i) + 1, F.lit(reach)).alias("at"),
+        ),
+    )
+    near = hits.select("doc_id", "n_words", F.inline(local)).join(prefix, "sid").withColumn("start", F.element_at("at", F.col("i") + 1) - F.col("offset"))
     bounded = near.filter((F.col("i") >= F.col("offset")) & (F.col("start") >= 0) & (F.col("start") + words <= F.col("n_words")))
-    whole = (F.slice("has", F.col("i") - F.col("offset") + 1, span) == F.col("sids")) & (
-        F.slice("at", F.col("i") - F.col("offset") + 1, span) == F.transform(F.sequence(F.lit(0), F.lit(span - 1)), lambda x: x + F.col("start"))
+    first = F.col("i") - F.col("offset") + 1
+    whole = (F.slice("has", first, F.lit(span)) == F.col("sids")) & (
+        F.slice("at", first, F.lit(span)) == F.transform(F.sequence(F.lit(0), F.lit(span - 1)), lambda x: x + F.col("start"))
     )
     return bounded.filter(whole).select("doc_id", "k").distinct().join(F.broadcast(names), "k").select("doc_id", "item_id")

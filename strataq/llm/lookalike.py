@@ -57,7 +57,8 @@ ACTIVE = (
     "\\u1AB0-\\u1AFF\\u1DC0-\\u1DFF\\u1F00-\\u1FFF\\u2000-\\u200F\\u202F\\u205F-\\u2064\\u20D0-\\u20FF\\u212A\\u212B\\u2126\\u2160-\\u217F\\u3000\\uFB00-\\uFB06\\uFEFF\\uFF01-\\uFF5E\\uFFE0-\\uFFE6]"
 )
 
-SWITCH, FOREIGN = 1e9, 1e5  # costs that no score of a word reaches
+# Costs that no score of a word of ordinary length reaches.
+SWITCH, FOREIGN = 1e9, 1e5
 _WORD = re.compile(r"[^\W\d_](?:[̀-ͯ]|[^\W\d_])*")
 
 
@@ -101,24 +102,30 @@ class Reader:
         if w in self.known:
             return self.known[w]
         lattice = _tables()[1]
-        best: list[tuple[float, str, str]] = [(0.0, "", "^")]  # cost, reading, last letter
+        best: list[tuple[float, str]] = [(0.0, "^")]  # cost, last letter
+        back: list[list[tuple[str, int]]] = []  # by position and state: what is read, the state before
         for c in w:
             if unicodedata.combining(c):
-                best = [(cost, text + c, last) for cost, text, last in best]
+                back.append([(c, i) for i in range(len(best))])
                 continue
-            step = []
+            step, steps = [], []
             for x in lattice.get(c, (c,)):
                 kind = script(x)
-                found = None
-                for cost, text, last in best:
-                    new = cost - self.bigrams.get(last + x, self.floor)
-                    new += SWITCH if last != "^" and script(last) != kind else 0.0
-                    if found is None or new < found[0]:
-                        found = (new, text, last)
-                step.append((found[0] + (0.0 if kind == "latin" else FOREIGN), found[1] + x, x))
+                cost, at = min(
+                    (cost - self.bigrams.get(last + x, self.floor) + (SWITCH if last != "^" and script(last) != kind else 0.0), i)
+                    for i, (cost, last) in enumerate(best)
+                )
+                step.append((cost + (0.0 if kind == "latin" else FOREIGN), x))
+                steps.append((x, at))
             best = step
-        out = min(best, key=lambda b: b[0] - self.bigrams.get(b[2] + "$", self.floor))[1]
-        if len(self.known) < 200_000:
+            back.append(steps)
+        at = min(range(len(best)), key=lambda i: best[i][0] - self.bigrams.get(best[i][1] + "$", self.floor))
+        read = []
+        for steps in reversed(back):
+            c, at = steps[at]
+            read.append(c)
+        out = "".join(reversed(read))
+        if len(self.known) < 200_000 and len(w) < 100:
             self.known[w] = out
         return out
 
@@ -154,7 +161,8 @@ def bigrams(texts: DataFrame, column: str) -> dict[str, float]:
         .groupBy("w")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    pairs = F.expr("transform(sequence(1, length(w) + 1), i -> substring(concat('^', w, '$'), i, 2))")
+    letters_of = F.split(F.concat(F.lit("^"), "w", F.lit("$")), "")
+    pairs = F.zip_with(F.slice(letters_of, F.lit(1), F.length("w") + 1), F.slice(letters_of, F.lit(2), F.length("w") + 1), lambda x, y: F.concat(x, y))
     counted = words.select(F.explode(pairs).alias("p"), "n").groupBy("p").agg(F.sum("n").alias("n")).collect()
     starts: dict[str, int] = {}
     for r in counted:

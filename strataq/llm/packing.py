@@ -173,7 +173,8 @@ def pack(documents: DataFrame, containers: DataFrame, key: str = "doc_id", text:
     spark = documents.sparkSession
     usable = containers.filter("container_kind is not null and capacity >= 1").groupBy("container_kind").agg(F.min("capacity").alias("c"))
     kinds = [(r.container_kind, r.c) for r in usable.orderBy("container_kind").collect()]
-    shape = "container_kind string, container_id bigint, doc_id bigint, piece int, size int"
+    doc_type = documents.schema[key].dataType.simpleString()
+    shape = f"container_kind string, container_id bigint, doc_id {doc_type}, piece int, size int"
     if not kinds:
         return spark.createDataFrame([], shape)
     # Sizes only: texts are read once and go no further.
@@ -213,14 +214,14 @@ def pack(documents: DataFrame, containers: DataFrame, key: str = "doc_id", text:
             j = np.searchsorted(begin, at, "right") - 1
             out = base[j] + (at - begin[j]) // per[j]
             yield pa.RecordBatch.from_arrays(
-                [b.column("container_kind"), pa.array(out), b.column("doc").cast(pa.int64()), b.column("piece"), b.column("size")],
+                [b.column("container_kind"), pa.array(out), b.column("doc"), b.column("piece"), b.column("size")],
                 names=["container_kind", "container_id", "doc_id", "piece", "size"],
             )
 
     order = Window.partitionBy("container_kind", "size", "salt").orderBy("doc", "piece")
     ranked = some.withColumn("rank", F.row_number().over(order).cast("bigint"))
     placed = ranked.select("container_kind", "size", "salt", "doc", "piece", "rank").mapInArrow(place, shape)
-    empty = held.filter("size = 0").select("container_kind", F.lit(0).cast("bigint").alias("container_id"), F.col("doc").cast("bigint").alias("doc_id"), "piece", "size")
+    empty = held.filter("size = 0").select("container_kind", F.lit(0).cast("bigint").alias("container_id"), F.col("doc").alias("doc_id"), "piece", "size")
     return placed.unionByName(empty)
 
 
