@@ -135,12 +135,12 @@ def gap_islands(df: DataFrame, part: list[str], order: list[str], low: str, high
     return islands(held, part, order, F.col(low) - F.col("_high") > gap, to).drop("_high")
 
 
-def spaced_text(chars: DataFrame, part: list[str], order: list[str], text: str = "text", x0: str = "x0", x1: str = "x1", gap: float = 1.5) -> DataFrame:
-    """(part..., line): characters joined, a space where they lie more than ``gap`` apart."""
+def spaced_text(chars: DataFrame, part: list[str], order: list[str], text: str = "text", x0: str = "x0", x1: str = "x1", gap: float = 1.5, to: str = "line") -> DataFrame:
+    """(part..., ``to``): characters joined, a space where they lie more than ``gap`` apart."""
     w = Window.partitionBy(*part).orderBy(*order)
     glued = F.concat(F.when(F.col(x0) - F.lag(x1).over(w) > gap, F.lit(" ")).otherwise(F.lit("")), F.col(text))
     parts = chars.withColumn("_glued", glued).groupBy(*part).agg(F.array_sort(F.collect_list(F.struct(*order, "_glued"))).alias("_p"))
-    return parts.select(*part, F.array_join(F.transform("_p", lambda p: p["_glued"]), "").alias("line"))
+    return parts.select(*part, F.array_join(F.transform("_p", lambda p: p["_glued"]), "").alias(to))
 
 
 def anchored_lines(chars: DataFrame, page: list[str], top: str = "top", x0: str = "x0", tolerance: float = 1.5) -> DataFrame:

@@ -483,11 +483,11 @@ def box_containment(spark, d):
 
 
 @query(f"""WITH bx AS ({_BOX}), g AS (SELECT * FROM bx WHERE side = 0), k AS (SELECT * FROM bx WHERE side = 1),
-    o AS (SELECT g.box AS region_id, k.box AS known_id, greatest(least(g.r, k.r) - greatest(g.l, k.l), 0) * greatest(least(g.b, k.b) - greatest(g.t, k.t), 0) AS ov, (g.r - g.l) * (g.b - g.t) AS a FROM g JOIN k USING (page))
-    SELECT region_id, arg_min(known_id, (-ov, known_id)) AS known_id FROM o WHERE ov > 0.2 * a GROUP BY region_id""")
+    o AS (SELECT page, g.box AS region_id, k.box AS known_id, greatest(least(g.r, k.r) - greatest(g.l, k.l), 0) * greatest(least(g.b, k.b) - greatest(g.t, k.t), 0) AS ov, (g.r - g.l) * (g.b - g.t) AS a FROM g JOIN k USING (page))
+    SELECT page, region_id, arg_min(known_id, (-ov, known_id)) AS known_id FROM o WHERE ov > 0.2 * a GROUP BY page, region_id""")
 def region_enrich(spark, d):
     b = _boxes(spark, d)
-    return G.most_overlapping(b.filter("side = 0").withColumnRenamed("box", "region_id"), b.filter("side = 1").withColumnRenamed("box", "known_id"), ["page"]).select("region_id", "known_id")
+    return G.most_overlapping(b.filter("side = 0").withColumnRenamed("box", "region_id"), b.filter("side = 1").withColumnRenamed("box", "known_id"), ["page"])
 
 
 @query()  # greedy, one after the other: tested against brute force

@@ -1,6 +1,16 @@
+"""Session and paths of all tests."""
+
+import os
+import sys
+
 import pytest
 
-from strataq.session import build_session
+HERE = os.path.dirname(os.path.abspath(__file__))
+for _p in (HERE, os.path.dirname(HERE)):
+    if _p not in sys.path:
+        sys.path.insert(0, _p)
+
+from strataq.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
