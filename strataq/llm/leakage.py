@@ -38,6 +38,8 @@ WORDS = 13
 SHINGLE = 5
 #: Items held by a task at a time; more are taken in further passes over the texts.
 ITEMS_AT_ONCE = 50_000
+#: Up to so many windows (about 100 bytes each) the prefixes go to all tasks; beyond it they are joined by key.
+BROADCAST_WINDOWS = 200_000
 
 _RUN = re.compile(r"[^\W_]+")
 
@@ -175,6 +177,8 @@ def _leaks_of(spark, texts: DataFrame, block: list, words: int, shingle: int, it
     )
     # A shingle that no text holds rules its window out.
     prefix = rarest.filter(F.col("known") == span).select("k", "sids", "p.sid", "p.offset")
+    if len(windows) <= BROADCAST_WINDOWS:  # then a shingle that many texts hold is met where its hits are
+        prefix = F.broadcast(prefix)
     # Each hit takes along only the hits that a window around it can have: a long text stays linear.
     begin = lambda i: F.greatest(i - (span - 1), F.lit(0))
     reach = 2 * span - 1

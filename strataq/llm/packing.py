@@ -35,6 +35,8 @@ from strataq.session import durable
 TOKEN = r"(?U)[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]+"
 #: Texts of one size that one task numbers.
 PER_SALT = 500_000
+#: Up to so many sizes (about 40 bytes each) their salts go to all tasks; beyond it they are joined by key.
+BROADCAST_SIZES = 200_000
 
 
 def n_tokens(text: Column) -> Column:
@@ -186,7 +188,9 @@ def pack(documents: DataFrame, containers: DataFrame, key: str = "doc_id", text:
         counts[r.container_kind][r.size] = r.n
     salts = [(k, s, -(-n // per_salt)) for k, by in counts.items() for s, n in by.items()]
     if salts:
-        known = F.broadcast(spark.createDataFrame(salts, "container_kind string, size int, salts int"))
+        known = spark.createDataFrame(salts, "container_kind string, size int, salts int")
+        if len(salts) <= BROADCAST_SIZES:  # then a size that many texts have isn't shuffled
+            known = F.broadcast(known)
         some = some.join(known, ["container_kind", "size"]).withColumn("salt", F.pmod(F.xxhash64("doc", "piece"), F.col("salts")).cast("int")).drop("salts")
     else:
         some = some.withColumn("salt", F.lit(0))
@@ -230,4 +234,4 @@ def fill_report(packed: DataFrame, containers: DataFrame) -> DataFrame:
     filled = packed.groupBy("container_kind").agg((F.max("container_id") + 1).alias("n_containers"), F.sum("size").alias("n_tokens"), F.count(F.lit(1)).alias("n_pieces"))
     kinds = containers.groupBy("container_kind").agg(F.min("capacity").alias("capacity"))
     unused = 1 - F.col("n_tokens") / (F.col("n_containers") * F.col("capacity"))
-    return filled.join(F.broadcast(kinds), "container_kind").withColumn("unused", unused)  # a row a kind
+    return filled.join(kinds, "container_kind").withColumn("unused", unused)
