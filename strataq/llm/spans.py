@@ -11,8 +11,9 @@ Two readings of the texts: the first counts records by minimiser (16 bytes a
 super-k-mer travel), the second sends only super-k-mers whose minimiser two records
 have, told by a bit map of fixed size whose false positives cost time, not results.
 A minimiser with more super-k-mers than a task should hold is split by record; its
-sub-buckets settle what repeats within them, and one row for each distinct window
-goes on to be compared between sub-buckets.
+sub-buckets settle what repeats within them.  All places of a window that one record
+holds there, and one row for a window of several, go on to be compared between
+sub-buckets.
 
 Windows are compared by two independent 64-bit polynomial hashes, that is 128 bits.
 
@@ -49,6 +50,8 @@ MAX_HOT = 1_000_000
 MAP_BITS = 1 << 27
 #: Code points worked on at once.
 BLOCK = 1 << 18
+#: Places of windows written at once.
+PLACES = 1 << 18
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -255,7 +258,7 @@ def _stretches(flags: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _settled(packed: DataFrame, span: int, hot: bool) -> DataFrame:
-    """Shared stretches by bucket; of hot buckets also a row for each distinct window."""
+    """Shared stretches by bucket; of hot buckets also rows of the windows, to compare between sub-buckets."""
     kind = packed.schema["id"].dataType.simpleString()
 
     def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -307,30 +310,37 @@ def _settled(packed: DataFrame, span: int, hot: bool) -> DataFrame:
             names=["id", "a", "b", "h1", "h2"],
         )
         if hot:
-            # A window of one record so far: its place; a shared one: only that it is there.
-            i = np.array([rows_of[whole[r]][0] for r in row[one_each].tolist()], np.int64)
-            a = at[i] + one_each - first[row[one_each]]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    ids.take(pa.array(i)),
-                    pa.array(a, pa.int64()),
-                    pa.array(np.zeros(len(i), np.int64), mask=both),
-                    pa.array(h1[one_each].view(np.int64)),
-                    pa.array(h2[one_each].view(np.int64)),
-                ],
-                names=["id", "a", "b", "h1", "h2"],
-            )
+            # A shared window: only that it is there.
+            there = one_each[both]
+            i = np.array([rows_of[whole[r]][0] for r in row[there].tolist()], np.int64)
+            yield windows(ids, i, at[i] + there - first[row[there]], None, h1[there], h2[there])
+            # A window of one record so far: all its places, in all equal strings.
+            alone = np.flatnonzero(~shared)
+            copies = np.array([len(rows_of[x]) for x in whole])
+            members, begins = np.concatenate([rows_of[x] for x in whole]), np.cumsum(copies) - copies
+            for c in np.split(alone, np.flatnonzero(np.diff(np.cumsum(copies[row[alone]]) // PLACES)) + 1):
+                n_c = copies[row[c]]
+                w = np.repeat(c, n_c)
+                i = members[np.repeat(begins[row[c]] - (np.cumsum(n_c) - n_c), n_c) + np.arange(len(w))]
+                yield windows(ids, i, at[i] + w - first[row[w]], 0, h1[w], h2[w])
+
+    def windows(ids, i, a, b, h1, h2) -> pa.RecordBatch:
+        b = pa.nulls(len(i), pa.int64()) if b is None else pa.array(np.full(len(i), b, np.int64))
+        return pa.RecordBatch.from_arrays(
+            [ids.take(pa.array(i)), pa.array(a, pa.int64()), b, pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64))],
+            names=["id", "a", "b", "h1", "h2"],
+        )
 
     keyed = packed.repartition("low", "salt").sortWithinPartitions("low", "salt")
     return keyed.mapInArrow(read, f"id {kind}, a bigint, b bigint, h1 bigint, h2 bigint")
 
 
 def _between(windows: DataFrame, span: int) -> DataFrame:
-    """Windows that one record holds in its sub-bucket, and another holds elsewhere.
+    """Places of windows that one record holds in its sub-bucket, and another holds elsewhere.
 
-    At most a row a sub-bucket and window, so no window's group is large.
+    A record has one sub-bucket, so a window is held elsewhere if its rows have two records.
     """
-    many = windows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h1", "h2")
+    many = windows.groupBy("h1", "h2").agg(F.min("id").alias("p"), F.max("id").alias("q")).filter("p <> q").select("h1", "h2")
     return windows.filter("b = 0").join(many, ["h1", "h2"], "left_semi").select("id", "a", (F.col("a") + span).alias("b"))
 
 

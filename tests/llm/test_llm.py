@@ -220,6 +220,29 @@ def test_spans_against_brute_force(spark, alphabet, per_bucket):
     assert got == brute(docs, 20) and got
 
 
+@pytest.mark.parametrize("places", [1 << 18, 3])
+def test_repeats_in_one_record_and_a_partner_in_another_salt(spark, places, monkeypatch):
+    """A window that a record holds twice (in equal super-k-mers, in others, in one) is marked at both places."""
+    monkeypatch.setattr(spans, "PLACES", places)
+    rnd = random.Random(4)
+    word = lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n))
+    docs = []
+    for i in range(0, 60, 2):
+        p, q = word(45), word(3) * 15
+        docs += [(i, word(30) + p + word(30) + p + word(9) + p[:30] + word(30) + q + word(30)), (i + 1, word(20) + (q if i % 3 else p) + word(20))]
+    # One shared block gives its minimiser so many super-k-mers that it is split.
+    same = word(40)
+    docs += [(100 + i, word(10) + same + word(15) + same if i < 6 else word(10) + same[i - 6 :] + word(5)) for i in range(9)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(4)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for per_bucket in (1, 3):
+            assert {tuple(r) for r in spans.shared_spans(df, span=20, m=8, per_bucket=per_bucket, bits=1 << 16).collect()} == brute(docs, 20)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
 def test_long_texts_are_cut_and_put_together(spark):
     rnd = random.Random(9)
     body = "".join(rnd.choice("abcdefghij") for _ in range(3 * spans.BLOCK // 2))
