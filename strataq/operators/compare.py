@@ -41,6 +41,20 @@ RUN_FIELDS = [
     Field("data.rows", same_list(same_map(same_text))),
     Field("cross_references", lambda x, y: as_set(x).eqNullSafe(as_set(y))),
 ]
+_parameter = same_struct(unit=same_text, range=_near_ends, source=same_text)
+
+
+def same_parameters(a: Column, b: Column) -> Column:
+    return (a.isNull() & b.isNull()) | F.coalesce(a.isNotNull() & b.isNotNull() & same_map(_parameter)(a, b), F.lit(False))
+
+
+_MORE = [
+    Field("data.parameters", same_parameters),
+    Field("data.reference_parameters", same_list(same_text)),
+    Field("data.source_pdf_page", same_value),
+]
+#: The whole payload.
+GOLD_FIELDS = [*(f for f in RUN_FIELDS if f.path.startswith("data.")), *_MORE]
 
 
 def severity(kind: Column, path: str) -> Column:
@@ -126,16 +140,18 @@ def compare_summary(status: DataFrame) -> DataFrame:
 def score_gold(extracted: DataFrame, gold: DataFrame, fields: list[Field]) -> DataFrame:
     """(element_id, id_match, type_match, data_match, xref_match, score) of each gold row.
 
-    ``fields``: the payload fields; those the gold row has count.
+    ``fields``: the payload fields; those the gold row has count.  A gold row with
+    none of them is met by an extracted row with none.
     """
     e = extracted.select(F.col("id"), F.struct("type", "cross_references", F.struct(*(f.column().alias(f.slot) for f in fields)).alias("v")).alias("e"))
     g = gold.select(F.col("id"), F.struct("type", "cross_references", F.struct(*(f.column().alias(f.slot) for f in fields)).alias("v")).alias("g"))
     met = g.join(e, "id", "left")
     has = [F.col(f"g.v.{f.slot}").isNotNull().cast("int") for f in fields]
     hit = [(F.col(f"g.v.{f.slot}").isNotNull() & f.same(F.col(f"g.v.{f.slot}"), F.col(f"e.v.{f.slot}"))).cast("int") for f in fields]
-    n, k = sum(has[1:], has[0]), sum(hit[1:], hit[0])
+    more = [F.col(f"e.v.{f.slot}").isNotNull().cast("int") for f in fields]
+    n, k, extra = (sum(x[1:], x[0]) for x in (has, hit, more))
     there = F.col("e").isNotNull()
-    data = F.when(~there, 0.0).when(n == 0, 1.0).otherwise(k / n)
+    data = F.when(~there, 0.0).when(n == 0, (extra == 0).cast("double")).otherwise(k / n)
     kind = there & F.col("e.type").eqNullSafe(F.col("g.type"))
     refs = there & as_set(F.col("e.cross_references")).eqNullSafe(as_set(F.col("g.cross_references")))
     score = 0.1 * there.cast("double") + 0.2 * kind.cast("double") + 0.5 * data + 0.2 * refs.cast("double")

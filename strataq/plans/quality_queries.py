@@ -167,7 +167,7 @@ s2 AS (SELECT element_id, id_match, type_match, round(dm, 4) AS data_match, xref
 
 
 def _scores(spark, d):
-    return X.score_gold(current(spark, d, "elements_b"), current(spark, d).filter("metadata.qc_status = 'passed'"), _GOLD_FIELDS)
+    return X.score_gold(current(spark, d, "elements_b"), current(spark, d).filter("metadata.qc_status = 'passed'"), X.GOLD_FIELDS)
 
 
 @query(f"{WITH}, {_SCORE} SELECT * FROM s2")

@@ -199,6 +199,22 @@ def test_compare_and_calibrate(spark):
     assert (rep.n_compared, rep.n_missing, rep.accuracy) == (1, 1, 1.0)
 
 
+def test_calibration_takes_the_whole_payload(spark, tmp_path):
+    from strataq.plans import registry
+    pay = {
+        "t": {"columns": [{"name": "c", "unit": None}], "rows": [{"c": "1"}]}, "u": {"rule": "r", "then_text": "do"}, "v": {"expression": "e", "parameters": {"p": {"unit": "m", "range": [1.0, 2.0], "source": "s"}}},
+        "w": {"figure_type": "map", "description": "d", "source_pdf_page": 7}, "x": {"target": "q", "url": "l", "reference_parameters": ["k"]}, "y": {"rule": "r", "exceptions": ["a"]}, "z": {}, "n": {},
+    }
+    other = pay | {
+        "t": {"columns": [{"name": "c", "unit": None}], "rows": [{"c": "2"}]}, "u": {"rule": "r", "then_text": "not"}, "v": {"expression": "e", "parameters": {"p": {"unit": "m", "range": [1.0, 3.0], "source": "s"}}},
+        "w": {"figure_type": "map", "description": "o", "source_pdf_page": 8}, "x": {"target": "q", "url": "l", "reference_parameters": []}, "n": {"rule": "r"},
+    }
+    for name, data in (("elements", pay), ("elements_b", other)):
+        elements(spark, *(element(i, data=d, metadata={"qc_status": "passed"}) for i, d in data.items())).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = {r.element_id: r.data_match for r in registry.queries()["calibration_scores"](spark, str(tmp_path)).collect()}
+    assert got == {"t": 0.5, "u": 0.5, "v": 0.5, "w": 0.3333, "x": 0.6667, "y": 1.0, "z": 1.0, "n": 0.0}
+
+
 def test_decisions(spark):
     base, alt = elements(spark, element("x", title="base")), elements(spark, element("x", title="alt"), element("y", title="other"))
     rows = [(1, " x", None, None, "title", "b", None), (2, "x", None, None, "title", "a", None), (3, "y", "y", None, "description", "manual", "m"), (4, "no", None, None, "title", "a", None), (5, None, None, None, "title", "a", None)]
