@@ -199,6 +199,22 @@ def test_compare_and_calibrate(spark):
     assert (rep.n_compared, rep.n_missing, rep.accuracy) == (1, 1, 1.0)
 
 
+def test_compare_takes_parameters_and_pages(spark):
+    p = {"unit": "m", "range": [1.0, 2.0], "source": "s"}
+    def form(i, params):
+        return element(i, type="formula", data={"expression": "e", "parameters": params})
+    a = [form("u", {"p": p}), form("r", {"p": p}), form("s", {"p": p}), form("k", {"p": p}), form("n", {"p": p}), form("near", {"p": p}), form("none", None)]
+    b = [form("u", {"p": p | {"unit": "ft"}}), form("r", {"p": p | {"range": [1.0, 3.0]}}), form("s", {"p": p | {"source": None}}), form("k", {"q": p}), form("n", None), form("near", {"p": p | {"range": [1.0, 2.001]}}), form("none", None)]
+    a += [element("x", type="reference", data={"target": "t", "reference_parameters": ["k"]}), element("y", data={"rule": "r", "source_pdf_page": 1})]
+    b += [element("x", type="reference", data={"target": "t", "reference_parameters": ["l"]}), element("y", data={"rule": "r", "source_pdf_page": None})]
+    m = X.match_runs(elements(spark, *a), elements(spark, *b))
+    got = pairs(X.diff_fields(m).select("id_a", "field", "severity"))
+    assert got == sorted([*((i, "data.parameters", "authoritative") for i in "urskn"), ("x", "data.reference_parameters", "helper"), ("y", "data.source_pdf_page", "helper")])
+    one = X.compare_summary(X.pair_status(m)).first()
+    assert (one.agreed, one.helper_only, one.authoritative) == (2, 2, 5)
+    assert X.review_queue(X.pair_status(m), X.diff_fields(m)).count() == 7
+
+
 def test_calibration_takes_the_whole_payload(spark, tmp_path):
     from strataq.plans import registry
     pay = {
