@@ -281,10 +281,19 @@ def structure(spark, d):
     fd AS (SELECT source.standard AS doc, avg((coalesce(data.rule, '') <> '')::INT) AS f FROM cur GROUP BY 1), s2 AS (SELECT doc, sum(score * n) / sum(n) AS s FROM sr GROUP BY 1)
     SELECT doc, round(0.4 * round(c, 3) + 0.4 * round(f, 3) + 0.2 * round(s, 3), 3) AS composite FROM cv JOIN fd USING (doc) JOIN s2 USING (doc)""")
 def composite(spark, d):
+    """Standards with no text to check have fidelity 0."""
+    b = _benchmark(spark, d).filter("c is not null")
+    return b.select("doc", Y.composite(F.round("c", 3), F.round("f", 3), F.round("s", 3)).alias("composite"))
+
+
+def _benchmark(spark, d):
+    """(doc, c, f, s): coverage, fidelity and structure of each standard; no coverage where nothing is mentioned."""
     cov = completeness(spark, d).select("doc", (F.col("found") / F.greatest("total", F.lit(1))).alias("c"))
-    full = current(spark, d).groupBy(F.col("source.standard").alias("doc")).agg(F.avg((F.coalesce("data.rule", F.lit("")) != "").cast("int")).alias("f"))
+    hit = (F.sum("n_exact") + F.sum("n_spacing")) / F.greatest(F.sum("n_checked"), F.lit(1))
+    fid = fidelity(spark, d).groupBy("doc").agg(hit.alias("f"))
     struct = structure(spark, d).groupBy("doc").agg((F.sum(F.col("score") * F.col("n")) / F.sum("n")).alias("s"))
-    return cov.join(full, "doc").join(struct, "doc").select("doc", Y.composite(F.round("c", 3), F.round("f", 3), F.round("s", 3)).alias("composite"))
+    return struct.join(fid, "doc", "left").join(cov, "doc", "left").select("doc", "c", F.coalesce("f", F.lit(0.0)).alias("f"), "s")
+
 
 
 _SIZE = lambda c: f"coalesce(len({c}), 0)"

@@ -297,6 +297,22 @@ def test_fidelity_and_structure(spark):
     assert pairs(quality.fidelity(e, pages, ["page"]).select("id", "match")) == [("a", "exact"), ("b", "spacing"), ("c", "none")]
 
 
+@pytest.fixture
+def benchmarked(spark, tmp_path):
+    """GOOD has its texts on their page, of which one is no rule; BAD has none of them there."""
+    text = "as given in Section 1.1 and in no other place of this text"
+    def rows(std, page, rule):
+        return [element(f"{std}-1", data={"rule": rule}, source={"standard": std, "page": page}), element(f"{std}-2", type="definition", data={"term": "t", "definition": text}, source={"standard": std, "page": 1})]
+    elements(spark, *rows("GOOD", 1, text), *rows("BAD", 1, text)).write.parquet(f"{tmp_path}/elements.parquet")
+    elements(spark, *rows("GOOD", 1, text), *rows("BAD", 1, "another text that stands on the page")).write.parquet(f"{tmp_path}/elements_b.parquet")
+    return str(tmp_path)
+
+
+def test_composite_takes_fidelity(spark, benchmarked):
+    from strataq.plans import registry as queries
+    assert pairs(queries.queries()["composite"](spark, benchmarked)) == [("BAD", 0.6), ("GOOD", 1.0)]
+
+
 def test_json_round_trip(spark, tmp_path):
     from strataq.sources import elements as IO
 
