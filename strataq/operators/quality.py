@@ -114,10 +114,15 @@ def composite(coverage_: Column, fidelity_: Column, structure_: Column) -> Colum
     return F.round(0.4 * coverage_ + 0.4 * fidelity_ + 0.2 * structure_, 3)
 
 
-def gate(elements: DataFrame, by: list[str], n_broken: DataFrame, n_symbols: DataFrame) -> DataFrame:
-    """(by..., check, passed): the release thresholds that need no page source.
+#: The least scores of a release.
+LEAST = {"composite": 0.95, "coverage": 0.85, "fidelity": 0.95}
 
-    ``n_broken``: by..., n_broken; ``n_symbols``: by..., n_symbols.
+
+def gate(elements: DataFrame, by: list[str], n_broken: DataFrame, n_symbols: DataFrame, scores: DataFrame) -> DataFrame:
+    """(by..., check, passed): the release thresholds.
+
+    ``n_broken``: by..., n_broken; ``n_symbols``: by..., n_symbols; ``scores``: by...,
+    composite, coverage, fidelity, of which a missing one fails.
     """
     kind = F.col("type")
     some = lambda c: F.coalesce(F.size(c), F.lit(0)) > 0
@@ -135,7 +140,8 @@ def gate(elements: DataFrame, by: list[str], n_broken: DataFrame, n_symbols: Dat
     checks = [c for c in one.columns if c not in by]
     met = one.join(n_broken, by, "left").join(n_symbols, by, "left")
     met = met.withColumn("broken_references", F.coalesce("n_broken", F.lit(0)) == 0).withColumn("symbols", F.coalesce("n_symbols", F.lit(0)) > 10)
-    each = F.array(*(F.struct(F.lit(c).alias("check"), F.col(c).alias("passed")) for c in [*checks, "broken_references", "symbols"]))
+    met = met.join(scores.select(*by, *LEAST), by, "left").withColumns({c: F.coalesce(F.col(c) >= x, F.lit(False)) for c, x in LEAST.items()})
+    each = F.array(*(F.struct(F.lit(c).alias("check"), F.col(c).alias("passed")) for c in [*checks, "broken_references", "symbols", *LEAST]))
     return met.select(*by, F.inline(each))
 
 

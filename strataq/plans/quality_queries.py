@@ -282,8 +282,11 @@ def structure(spark, d):
     SELECT doc, round(0.4 * round(c, 3) + 0.4 * round(f, 3) + 0.2 * round(s, 3), 3) AS composite FROM cv JOIN fd USING (doc) JOIN s2 USING (doc)""")
 def composite(spark, d):
     """Standards with no text to check have fidelity 0."""
-    b = _benchmark(spark, d).filter("c is not null")
-    return b.select("doc", Y.composite(F.round("c", 3), F.round("f", 3), F.round("s", 3)).alias("composite"))
+    return _benchmark(spark, d).filter("c is not null").select("doc", _composite().alias("composite"))
+
+
+def _composite():
+    return Y.composite(*(F.round(x, 3) for x in ("c", "f", "s")))
 
 
 def _benchmark(spark, d):
@@ -313,7 +316,8 @@ def deploy_gate(spark, d):
     x = now.select("doc", F.explode("cross_references").alias("t")).filter("t is not null")
     broken = x.join(now.select(F.col("id").alias("t")), "t", "left_anti").groupBy("doc").agg(_n().alias("n_broken"))
     symbols = now.select("doc", F.explode(F.map_keys("data.parameters")).alias("k")).groupBy("doc").agg(F.count_distinct("k").alias("n_symbols"))
-    return Y.gate(now, ["doc"], broken, symbols)
+    scores = _benchmark(spark, d).select("doc", _composite().alias("composite"), F.col("c").alias("coverage"), F.col("f").alias("fidelity"))
+    return Y.gate(now, ["doc"], broken, symbols, scores)
 
 
 _FULL = "CASE " + " ".join(f"WHEN type = '{k}' THEN " + " AND ".join(f"coalesce(len(data.{c}), 0) > 0" if c in ("columns", "rows") else f"trim(coalesce(data.{c}, ''), ' ') <> ''" for c in cs) for k, cs in Y.PAYLOAD.items()) + " ELSE data IS NOT NULL END"

@@ -313,6 +313,15 @@ def test_composite_takes_fidelity(spark, benchmarked):
     assert pairs(queries.queries()["composite"](spark, benchmarked)) == [("BAD", 0.6), ("GOOD", 1.0)]
 
 
+def test_gate_takes_the_three_scores(spark, benchmarked):
+    from strataq.plans import registry as queries
+    rows = queries.queries()["deploy_gate"](spark, benchmarked).collect()
+    got = {(r.doc, r.check): r.passed for r in rows}
+    assert len(rows) == len(got) == 26
+    assert [got["GOOD", c] for c in ("composite", "coverage", "fidelity")] == [True, True, True]
+    assert [got["BAD", c] for c in ("composite", "coverage", "fidelity")] == [False, True, False]
+
+
 def test_json_round_trip(spark, tmp_path):
     from strataq.sources import elements as IO
 
