@@ -202,6 +202,11 @@ def forms(elements: DataFrame, fields: dict[str, str] | None = None) -> DataFram
     return rows.withColumn("form", one_form(F.col("text"), pairs))
 
 
+def _hashed(c: Column) -> list[Column]:
+    # The hash of one column is the seed of the next: the salt stands first, else the second follows from the first.
+    return [F.xxhash64(c), F.xxhash64(F.lit(17), c)]
+
+
 def look_same(elements: DataFrame, fields: dict[str, str] | None = None) -> DataFrame:
     """(id_a, id_b, field): current texts that look the same with other characters.
 
@@ -212,16 +217,13 @@ def look_same(elements: DataFrame, fields: dict[str, str] | None = None) -> Data
     fields = fields or ELEMENT_FIELDS
     pairs = bigrams(_fields(elements, fields).filter("text is not null"), "text")
 
-    def hashed(c: Column) -> list[Column]:
-        return [F.xxhash64(c), F.xxhash64(c, F.lit(17))]
-
     forms_ = {n: one_form(F.col(p), pairs) for n, p in fields.items()}
     held = []
     read = elements.filter("id is not null").select("id", "loaded_at", *(F.col(p).alias(f"t{i}") for i, p in enumerate(fields.values())), *(f.alias(f"f{i}") for i, f in enumerate(forms_.values())))
     for i, name in enumerate(fields):
         t, f = F.col(f"t{i}"), F.col(f"f{i}")
         held.append(
-            F.when(t.isNotNull(), F.struct(F.lit(name).alias("field"), *(h.alias(k) for h, k in zip(hashed(f) + hashed(t), ("f1", "f2", "t1", "t2"), strict=True)))).alias(f"h{i}")
+            F.when(t.isNotNull(), F.struct(F.lit(name).alias("field"), *(h.alias(k) for h, k in zip(_hashed(f) + _hashed(t), ("f1", "f2", "t1", "t2"), strict=True)))).alias(f"h{i}")
         )
     now = current_rows(read.select("id", "loaded_at", *held), [f"h{i}" for i in range(len(fields))])
     rows = now.select("id", F.inline(F.filter(F.array(*(f"h{i}" for i in range(len(fields)))), lambda x: x.isNotNull())))

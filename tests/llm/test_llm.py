@@ -8,6 +8,7 @@ import pytest
 from helpers import element, elements, pairs
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from strataq.llm import leakage, lookalike, packing, spans
 
@@ -67,6 +68,13 @@ def test_pairs(spark):
     assert forms["b", "title"] == "Wind load" and ("f", "title") not in forms and forms["g", "data.definition"] == ""
 
 
+def test_second_hash_has_a_seed_of_its_own(spark):
+    """Two hashes of a text are two seeds over it, not one hash hashed again."""
+    h = spark.createDataFrame([("Wind load",)], "t string").select(*(x.alias(k) for x, k in zip(lookalike._hashed(F.col("t")), "ab", strict=True))).first()
+    again = spark.sql("SELECT xxhash64('Wind load') AS a, xxhash64(17, 'Wind load') AS b").first()
+    assert (h.a, h.b) == (again.a, again.b)
+
+
 # --- packing ---------------------------------------------------------------------
 
 
