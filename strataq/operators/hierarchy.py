@@ -153,6 +153,8 @@ def _settle(links: DataFrame, per_task: int, paths: bool, parts_before: int) ->
     """
     n = links.count()
     parts = min(max(1, math.ceil(n / per_task)), max(1, parts_before))
+    if parts == 1 and n > per_task:  # too many for the one task that is left
+        return _by_doubling(links, n)
     if parts > 1:
         state = durable(_forests(links, parts, paths))
         ends = state.filter("not cyclic and off = 0 and ext is not null").select("id", "ext")

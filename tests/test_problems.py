@@ -152,6 +152,22 @@ def test_long_chain_and_far_cycle(spark):
     assert got == {k: v[:2] for k, v in chains(links).items()}
 
 
+def test_the_last_task_takes_no_more_links_than_it_should(spark, monkeypatch):
+    real, seen = hierarchy._forests, []
+
+    def spy(links, parts, paths):
+        seen.append((links.count(), parts))
+        return real(links, parts, paths)
+
+    monkeypatch.setattr(hierarchy, "_forests", spy)
+    rows = [(f"c{i:02d}", f"c{i - 1:02d}", 1, f"c{i - 1:02d}", [f"c{i - 1:02d}"]) for i in range(1, 41)]
+    links = spark.createDataFrame(rows, "id string, ptr string, w bigint, low string, seg array<string>")
+    for per_task in (5, 100):
+        got = {r.id: (r.root, r.depth) for r in hierarchy._settle(links, per_task, False, 1).collect()}
+        assert got == {f"c{i:02d}": ("c00", i) for i in range(1, 41)}
+    assert seen == [(40, 1)]
+
+
 def test_hierarchy_edges(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert hierarchy.hierarchy(empty).count() == 0
