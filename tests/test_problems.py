@@ -71,6 +71,25 @@ def test_deep_nesting(spark):
     assert children(spark, json.dumps(doc)) == [(0, "deep", "then", 0, "")]
 
 
+def test_repeated_keys_deep_documents_and_long_strings_lose_nothing(spark):
+    twice = '{"elements": [{"id": "a", "id": "b", "data": {"then": "x", "exceptions": ["y"], "exceptions": ["z", "w"]}}], "elements": []}'
+    assert children(spark, twice) == [(0, "b", "exception", 0, ""), (0, "b", "exception", 1, ""), (0, "b", "then", 0, "")]
+    for n in (400, 1100, 20_000):
+        deep = '{"w":[' * n + '{"id":"e","data":{"then":"x","rows":[{"k":{"m":[1]}}]}}' + "]}" * n
+        assert children(spark, deep) == [(0, "e", "cell", 0, "k"), (0, "e", "then", 0, "")]
+        assert children(spark, deep[:-1]) == [] and children(spark, deep + "]") == []
+    long = json.dumps({"id": "e", "data": {"rule": "x" * 21_000_000, "then": "x"}})
+    assert children(spark, long) == [(0, "e", "then", 0, "")]
+
+
+def test_texts_that_look_like_json_are_not_walked(spark):
+    inner = json.dumps({"id": "f", "data": {"then": "x"}})
+    doc = {"note": inner, "list": [inner, {"id": "g", "data": {"then": "[1]", "exceptions": "[]", "conditions": inner}}], "id": "e", "data": {"nested": [{"id": "h", "data": {"then": 1}}, inner]}}
+    assert children(spark, json.dumps(doc)) == [(0, "g", "condition", 0, None), (0, "g", "exception", 0, ""), (0, "g", "then", 0, ""), (0, "h", "then", 0, "")]
+    escaped = json.dumps({"elements": [{"id": "é", "data": {"then": "ü"}}]}).replace("data", "d\\u0061ta")
+    assert children(spark, escaped) == [(0, "é", "then", 0, "")]
+
+
 # --- copies --------------------------------------------------------------------
 
 
