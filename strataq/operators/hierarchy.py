@@ -3,11 +3,21 @@
 Weighted disjoint-set forests: each partition of a range-partitioned link table
 holds a forest whose nodes carry their offset to the local root.  Local roots that
 point outside the partition are contracted to links between such roots, with the
-offset as weight, and the contracted links go through the same step with fewer
-partitions, until none is left or one partition holds them all.  Where the ids
-have no locality, so that contraction doesn't shrink the table, the links are
-doubled instead (each link followed by the next), which halves every chain.  Links
-never reach the driver; only counts do.
+offset as weight, and the contracted links go through the same step, until one
+task can hold them all.  The number of partitions always follows the number of
+links, so no task's forest grows with the table.
+
+Ids that lie near their parents' contract within their range.  So that ids in any
+order contract as well, two things happen from the second level on: links that no
+link points at wait outside (they end where their parent ends), and a coin tells
+for each id and level whether its link moves to its parent's place, where the two
+are one tree.  Each level so takes at least about a quarter of the links away, in a
+cycle or a chain of scattered ids too.  Links to a parent with very many stay where
+they are, so no place holds more than a share of a task.  Links never reach the
+driver; only counts do.
+
+Paths are written while a task's forest is traversed from its roots downwards, so a
+task holds one path at a time.
 
 Defined results
 ---------------
@@ -35,11 +45,14 @@ from strataq.session import durable
 
 #: Links that one task's forest holds.
 LINKS_PER_TASK = 100_000
-#: Contraction that leaves more than this share of the links is replaced by doubling.
-POOR = 0.7
+#: A parent with more links than this part of a task's keeps them in their own places.
+HUB_SHARE = 8
+#: Up to so many such parents (there are at most ``HUB_SHARE`` a task) go to all tasks.
+BROADCAST_HUBS = 1_000_000
+#: Rows, and entries of paths, written at once.
+ROWS, ENTRIES = 20_000, 500_000
 
-_LINK = "id string, ptr string, w bigint, low string"
-_STATE = "id string, root string, off bigint, low string, ext string, cyclic boolean, seg array<string>"
+_STATE = "id string, root string, off bigint, low string, ext string, w bigint, own array<string>, cyclic boolean, seg array<string>"
 
 
 class Forest:
@@ -71,164 +84,205 @@ class Forest:
         return ~self.is_root[self.parent]
 
 
-def _forest(batches: list[pa.RecordBatch], paths: bool) -> pa.RecordBatch | None:
+def _numbers(names: pa.Array, of: pa.Array) -> np.ndarray:
+    """The place of each of ``of`` in ``names``; -1: none."""
+    return pc.fill_null(pc.index_in(of, value_set=names), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _forest(batches: list[pa.RecordBatch], paths: bool, last: bool) -> Iterator[pa.RecordBatch]:
+    """The forest of a partition's links, as ``_STATE``.
+
+    ``last``: no other partition is left, so the roots' own links are followed too
+    and ``root`` is where they lead.
+    """
     t = pa.Table.from_batches(batches).combine_chunks()
     if not t.num_rows:
-        return None
-    ids = t["id"].combine_chunks()
-    ptr = t["ptr"].combine_chunks()
+        return
+    ids, ptr, low_in = (t[c].combine_chunks() for c in ("id", "ptr", "low"))
     n = len(ids)
-    here = pc.index_in(ptr, value_set=ids)
-    inside = pc.is_valid(here).to_numpy(zero_copy_only=False)
-    parent = np.where(inside, pc.fill_null(here, 0).to_numpy(zero_copy_only=False), np.arange(n)).astype(np.int64)
+    here = _numbers(ids, ptr)
+    inside = here >= 0
+    parent = np.where(inside, here, np.arange(n))
     loop = inside & (parent == np.arange(n))
-    names = pc.unique(pa.concat_arrays([ids, t["low"].combine_chunks().drop_null()]))
+    names = pc.unique(pa.concat_arrays([ids, low_in.drop_null()]))
     order = pc.sort_indices(names).to_numpy()
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
     none = len(order)
-    at = pc.index_in(t["low"].combine_chunks(), value_set=names)
-    low = np.where(pc.is_valid(at).to_numpy(zero_copy_only=False), rank[pc.fill_null(at, 0).to_numpy(zero_copy_only=False).astype(np.int64)], none)
-    own = rank[pc.index_in(ids, value_set=names).to_numpy(zero_copy_only=False).astype(np.int64)]
-    low[~inside] = none
-    f = Forest(parent, t["w"].to_numpy(), low)
+    at = _numbers(names, low_in)
+    given = np.where(at >= 0, rank[at], none)
+    low = np.where(inside, given, none)
+    w = t["w"].to_numpy().astype(np.int64)
+    f = Forest(parent, w, low)
     f.is_root &= ~loop
     f.weight[loop] = 1
-    f.low[loop] = np.minimum(low, own)[loop]
+    f.low[loop] = np.minimum(low, rank[_numbers(names, ids)])[loop]
     cyclic = f.compress()
     root = np.where(cyclic, 0, f.parent)
-    lows = np.where(cyclic, np.where(f.low[f.parent] < none, f.low[f.parent], f.low), f.low)
-    sorted_names = names.take(pa.array(order))
-    low_names = sorted_names.take(pa.array(np.minimum(lows, none - 1))) if none else names
+    lows = np.where(cyclic, np.where(f.low[f.parent] < none, f.low[f.parent], f.low), np.where(f.is_root, given, f.low))
+    low_names = names.take(pa.array(order[np.minimum(lows, none - 1)]))
     low_names = pc.if_else(pa.array(lows < none), low_names, pa.scalar(None, pa.string()))
-    root_names = pc.if_else(pa.array(cyclic), low_names, ids.take(pa.array(root)))
-    ext = pc.if_else(pa.array(cyclic), pa.scalar(None, pa.string()), ptr.take(pa.array(root)))
-    segs: list[list[str] | None] = [None] * n
-    if paths:
-        # Indexed parent traversal, nearest to the root first.
-        step = np.argsort(f.weight, kind="stable")
-        own_seg = t["seg"].to_pylist()
-        for i in step.tolist():
-            if not cyclic[i]:
-                segs[i] = [] if f.is_root[i] else own_seg[i] + segs[parent[i]]
-    return pa.RecordBatch.from_arrays(
-        [ids, root_names, pa.array(np.where(cyclic, -1, f.weight)), low_names, ext, pa.array(cyclic), pa.array(segs, pa.list_(pa.string()))],
-        names=["id", "root", "off", "low", "ext", "cyclic", "seg"],
-    )
-
+    off = f.weight + np.where(last, w[root], 0)
+    ends = ptr if last else ids
+    out = {
+        "id": ids,
+        "root": pc.if_else(pa.array(cyclic), low_names, ends.take(pa.array(root))),
+        "off": pa.array(np.where(cyclic, -1, off)),
+        "low": low_names,
+        "ext": pc.if_else(pa.array(f.is_root & ~cyclic), ptr, pa.scalar(None, pa.string())),
+        "w": t["w"],
+        "own": t["seg"],
+        "cyclic": pa.array(cyclic),
+    }
+    if paths:  # only roots' own links are followed later
+        out["own"] = t["seg"].take(pa.array(np.arange(n), mask=~(f.is_root & ~cyclic)))
+    table = pa.table(out)
+    if not paths:
+        yield from table.append_column("seg", pa.nulls(n, pa.list_(pa.string()))).to_batches(ROWS)
+        return
+    own = t["seg"].to_pylist()
+    written = np.zeros(n, bool)
+    for rows, flat, offsets in _traversed(parent, f.is_root & ~cyclic, ~cyclic & ~f.is_root, own, last):
+        written[rows] = True
+        seg = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.string()))
+        yield from table.take(pa.array(rows)).append_column("seg", seg).combine_chunks().to_batches()
+    rest = table.filter(pa.array(~written))
+    yield from rest.append_column("seg", pa.nulls(rest.num_rows, pa.list_(pa.string()))).to_batches(ROWS)
+
+
+def _traversed(parent: np.ndarray, is_root: np.ndarray, below: np.ndarray, own: list, last: bool) -> Iterator[tuple[list, list, list]]:
+    """(rows, entries, offsets): the paths from the roots, by indexed parent traversal, depth first."""
+    kids = np.flatnonzero(below)
+    kids = kids[np.argsort(parent[kids], kind="stable")]
+    first = np.searchsorted(parent[kids], np.arange(len(parent) + 1))
+    kids, first = kids.tolist(), first.tolist()
+    rows, flat, offsets, path = [], [], [0], []
+    for r in np.flatnonzero(is_root).tolist():
+        open_ = [(r, 0)]
+        while open_:
+            i, k = open_.pop()
+            del path[k:]
+            if i != r or last:
+                path.extend(own[i])
+            rows.append(i)
+            flat.extend(path)
+            offsets.append(len(flat))
+            k = len(path)
+            open_.extend((c, k) for c in kids[first[i] : first[i + 1]])
+            if len(rows) >= ROWS or len(flat) >= ENTRIES:
+                yield rows, flat, offsets
+                rows, flat, offsets = [], [], [0]
+    if rows:
+        yield rows, flat, offsets
+
+
+def _forests(placed: DataFrame, paths: bool, last: bool = False) -> DataFrame:
+    """The forests of the partitions of (id, ptr, w, low, seg)."""
 
-def _forests(links: DataFrame, parts: int, paths: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = list(batches)
-        if held and (out := _forest(held, paths)) is not None:
-            for start in range(0, out.num_rows, 20_000):
-                yield out.slice(start, 20_000)
+        held = [b for b in batches if b.num_rows]
+        if held:
+            yield from _forest(held, paths, last)
 
-    placed = links.coalesce(1) if parts == 1 else links.repartitionByRange(parts, "id")
     return placed.mapInArrow(run, _STATE)
 
 
+def _parts(n: int, per_task: int) -> int:
+    """Ranges are sampled and places hold several links: half a task's links on average leave room for both."""
+    return max(1, math.ceil(2 * n / per_task))
+
+
 def _joined(seg: Column, more: Column) -> Column:
-    return F.concat(seg, F.coalesce(more, F.array().cast("array<string>")))
+    """Paths one after the other, the one nearer to the root first."""
+    return F.concat(F.coalesce(seg, F.array().cast("array<string>")), more)
 
 
-def _double(links: DataFrame) -> DataFrame:
-    """Each link followed by the next one of its chain."""
-    nxt = links.select(F.col("id").alias("ptr"), F.col("ptr").alias("p2"), F.col("w").alias("w2"), F.col("low").alias("low2"), F.col("seg").alias("seg2"))
-    return links.join(nxt, "ptr", "left").select(
-        "id",
-        F.coalesce("p2", "ptr").alias("ptr"),
-        (F.col("w") + F.coalesce("w2", F.lit(0))).alias("w"),
-        F.least("low", "low2").alias("low"),
-        _joined(F.col("seg"), F.col("seg2")).alias("seg"),
-        F.col("p2").isNull().alias("ended"),
-    )
+def _ended(more: Column, rest: Column, off: Column, seg: Column, cyclic: Column) -> list[Column]:
+    """Depth and path of what hangs on a link that ends so."""
+    never = cyclic | F.coalesce(more < 0, F.lit(False))
+    return [
+        F.when(never, F.lit(-1)).otherwise(off + F.coalesce(more, F.lit(0))).cast("bigint").alias("more"),
+        F.when(~never, _joined(rest, seg)).alias("rest"),
+    ]
+
+
+_LINK = ["id", "ptr", "w", "low", "seg"]
 
 
-def _settle(links: DataFrame, per_task: int, paths: bool, parts_before: int) -> DataFrame:
-    """(id, root, depth, seg): where the chain of each contracted link ends.
+def _contracted(state: DataFrame, known_ends: bool) -> tuple[DataFrame, DataFrame]:
+    """(id, top, more, rest) of the local roots that are settled, and the links between the others.
 
-    A pointer that is no ``id`` of the table is an end.  Depth -1: a cycle, whose
-    smallest id is the root.
+    ``known_ends``: a pointer at nothing in the table is an end; else its link counts for nothing.
     """
-    n = links.count()
-    parts = min(max(1, math.ceil(n / per_task)), max(1, parts_before))
-    if parts == 1 and n > per_task:  # too many for the one task that is left
-        return _by_doubling(links, n)
-    if parts > 1:
-        state = durable(_forests(links, parts, paths))
-        ends = state.filter("not cyclic and off = 0 and ext is not null").select("id", "ext")
-        own = state.select(F.col("id").alias("ext"), "root", "off", "cyclic", F.col("seg").alias("seg2"), F.lit(True).alias("there"), F.col("low").alias("low2"))
-        first = links.select("id", F.col("w").alias("w1"), F.col("low").alias("low1"), F.col("seg").alias("seg1"))
-        met = durable(
-            ends.join(first, "id").join(own, "ext", "left").select("id", "ext", "w1", "low1", "seg1", "root", "off", "cyclic", "seg2", "low2", "there")
-        )
-        done = met.filter("there is null or cyclic").select(
-            "id",
-            F.when(F.col("there").isNull(), F.col("ext")).otherwise(F.col("root")).alias("top"),
-            F.when(F.col("there").isNull(), F.col("w1")).otherwise(F.lit(-1)).alias("more"),
-            F.when(F.col("there").isNull(), F.col("seg1")).alias("rest"),
-        )
-        again = met.filter("there and not cyclic").select(
-            "id",
-            F.col("root").alias("ptr"),
-            (F.col("w1") + F.col("off")).alias("w"),
-            F.least("low1", "low2").alias("low"),
-            _joined(F.col("seg1"), F.col("seg2")).alias("seg"),
-        )
-        k = again.count()
-        if k <= POOR * n:
-            # A link whose end is settled leads on to that end's own link.
-            tops = done
-            if k:
-                deeper = _settle_with_ends(again, done, per_task, paths, parts // 4)
-                tops = done.unionByName(deeper)
-            tops = durable(tops)
-            return state.alias("s").join(tops.alias("t"), F.col("s.root") == F.col("t.id"), "left").select(
-                F.col("s.id").alias("id"),
-                F.when(F.col("cyclic"), F.col("root")).otherwise(F.col("top")).alias("root"),
-                F.when(F.col("cyclic") | (F.col("more") < 0), F.lit(-1)).otherwise(F.col("off") + F.col("more")).cast("bigint").alias("depth"),
-                F.when(F.col("cyclic") | (F.col("more") < 0), F.lit(None)).otherwise(_joined(F.col("seg"), F.col("rest"))).alias("seg"),
-            )
-        return _by_doubling(links, n)
-    state = _forests(links, 1, paths)
-    # The last link of a chain leads to a pointer outside the table.
-    ends = links.select(F.col("id").alias("root"), F.col("w").alias("w1"), F.col("seg").alias("seg1"))
-    return state.join(ends, "root", "left").select(
+    ends = state.filter("ext is not null").select("id", "ext", "w", "own", F.col("low").alias("low1"))
+    own = state.select(F.col("id").alias("ext"), "root", "off", "cyclic", "low", F.when(F.col("off") != 0, F.col("low")).alias("low2"), "seg", F.lit(True).alias("there"))
+    met = durable(ends.join(own, "ext", "left" if known_ends else "inner"))
+    lost = F.col("there").isNull()
+    done = met.filter(lost | F.col("cyclic")).select(
         "id",
-        F.when(F.col("cyclic"), F.col("root")).otherwise(F.col("ext")).alias("root"),
-        F.when(F.col("cyclic"), F.lit(-1)).otherwise(F.col("off") + F.col("w1")).cast("bigint").alias("depth"),
-        F.when(~F.col("cyclic"), _joined(F.col("seg"), F.col("seg1"))).alias("seg"),
+        F.when(lost, F.col("ext")).otherwise(F.col("root")).alias("top"),
+        F.when(lost, F.col("w")).otherwise(F.lit(-1)).cast("bigint").alias("more"),
+        F.when(lost, F.col("own")).alias("rest"),
+    )
+    links = met.filter("there and not cyclic").select(
+        "id", F.col("root").alias("ptr"), (F.col("w") + F.col("off")).alias("w"), F.least("low1", "low2").alias("low"), F.concat("seg", "own").alias("seg")
+    )
+    return done, links
+
+
+def _through(state: DataFrame, done: DataFrame, links: DataFrame, per_task: int, paths: bool, level: int) -> DataFrame:
+    """(id, top, more, rest) of all nodes of the forests, by way of their local roots' links."""
+    links = durable(links)
+    tops = done
+    if links.head(1):
+        deep = _settle(links, per_task, paths, level)
+        tail = done.select(F.col("id").alias("top"), F.col("top").alias("top2"), F.col("more").alias("more2"), F.col("rest").alias("rest2"))
+        cyclic = F.col("more") < 0
+        deep = deep.join(tail, "top", "left").select("id", F.coalesce("top2", "top").alias("top"), *_ended(F.col("more2"), F.col("rest2"), F.col("more"), F.col("rest"), cyclic))
+        tops = durable(done.unionByName(deep))
+    return state.alias("s").join(tops.alias("t"), F.col("s.root") == F.col("t.id"), "left").select(
+        F.col("s.id").alias("id"),
+        F.when(F.col("cyclic"), F.col("root")).otherwise(F.coalesce("top", "root")).alias("top"),
+        *_ended(F.col("t.more"), F.col("t.rest"), F.col("off"), F.col("seg"), F.col("cyclic")),
     )
 
 
-def _settle_with_ends(again: DataFrame, done: DataFrame, per_task: int, paths: bool, parts: int) -> DataFrame:
-    """(id, top, more, rest) of the links that lead to another partition's root."""
-    deep = durable(_settle(durable(again), per_task, paths, max(1, parts)))
-    tail = done.select(F.col("id").alias("root"), "top", "more", F.col("rest").alias("tail"))
-    return deep.join(tail, "root", "left").select(
-        "id",
-        F.when(F.col("depth") < 0, F.col("root")).otherwise(F.coalesce("top", "root")).alias("top"),
-        F.when((F.col("depth") < 0) | (F.col("more") < 0), F.lit(-1)).otherwise(F.col("depth") + F.coalesce("more", F.lit(0))).cast("bigint").alias("more"),
-        F.when((F.col("depth") < 0) | (F.col("more") < 0), F.lit(None)).otherwise(_joined(F.col("seg"), F.col("tail"))).alias("rest"),
-    )
+def _coin(c: str, level: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit(level), F.col(c)), F.lit(2)) == 0
 
 
-def _by_doubling(links: DataFrame, n: int) -> DataFrame:
-    """Follow all chains at once, doubling the links' reach; log2 of the chain length rounds."""
-    now = durable(links.withColumn("ended", F.lit(False)))
-    for _ in range(math.ceil(math.log2(n + 1)) + 1):
-        now = durable(_double(now.drop("ended")))
-        if not now.filter("not ended").head(1):
-            break
-    # What hasn't ended runs in a cycle: its pointer is on it, and that node's low covers it.
-    low = now.select(F.col("id").alias("ptr"), F.col("low").alias("cycle_low"))
-    return now.join(low, "ptr", "left").select(
-        "id",
-        F.when(F.col("ended"), F.col("ptr")).otherwise(F.col("cycle_low")).alias("root"),
-        F.when(F.col("ended"), F.col("w")).otherwise(F.lit(-1)).cast("bigint").alias("depth"),
-        F.when(F.col("ended"), F.col("seg")).alias("seg"),
-    )
+def _settle(links: DataFrame, per_task: int, paths: bool, level: int) -> DataFrame:
+    """(id, top, more, rest): where the chain of each contracted link ends, how far that is, and the path.
+
+    A pointer that is no ``id`` of the table is an end.  ``more`` -1: a cycle, whose
+    smallest id is the top.
+    """
+    n = links.count()
+    out = ["id", F.col("root").alias("top"), F.col("off").alias("more"), F.col("seg").alias("rest")]
+    if n <= per_task:
+        return _forests(links.select(_LINK).coalesce(1), paths, last=True).select(*out)
+    # Links that none points at end where their parent ends.
+    kids = durable(links.groupBy("ptr").agg(F.count(F.lit(1)).alias("kids")))
+    marked = durable(links.join(kids.withColumnRenamed("ptr", "id"), "id", "left"))
+    inner, leaves = marked.filter("kids is not null"), marked.filter("kids is null")
+    m = inner.count()
+    if m == 0:
+        return leaves.select("id", F.col("ptr").alias("top"), F.col("w").alias("more"), F.col("seg").alias("rest"))
+    if m <= per_task:
+        settled = durable(_forests(inner.select(_LINK).coalesce(1), paths, last=True).select(*out))
+    else:
+        hubs = kids.filter(F.col("kids") > max(4, per_task // HUB_SHARE)).select("ptr", F.lit(True).alias("hub"))
+        if HUB_SHARE * (n // per_task + 1) <= BROADCAST_HUBS:
+            hubs = F.broadcast(hubs)
+        moves = _coin("id", level) & ~_coin("ptr", level) & F.col("hub").isNull()
+        placed = inner.join(hubs, "ptr", "left").withColumn("place", F.when(moves, F.col("ptr")).otherwise(F.col("id")))
+        placed = placed.repartitionByRange(_parts(m, per_task), "place")
+        state = durable(_forests(placed.select(_LINK), paths))
+        done, again = _contracted(state, True)
+        settled = durable(_through(state, done, again, per_task, paths, level + 1))
+    on = settled.select(F.col("id").alias("ptr"), F.col("top"), F.col("more"), F.col("rest"))
+    hung = leaves.join(on, "ptr", "left").select("id", F.coalesce("top", "ptr").alias("top"), *_ended(F.col("more"), F.col("rest"), F.col("w"), F.col("seg"), F.lit(False)))
+    return settled.unionByName(hung)
 
 
 def hierarchy(
@@ -247,36 +301,18 @@ def hierarchy(
     raw = nodes.select(F.col(key).alias("id"), F.col(parent).alias("ptr"), *([F.col(loaded).alias("loaded_at")] if loaded else []))
     rows = durable(current_rows(raw, ["ptr"]) if loaded else raw.filter("id is not null"))
     n = rows.count()
-    parts = max(1, math.ceil(n / links_per_task))
     seg = F.array("ptr") if paths else F.lit(None).cast("array<string>")
     first = rows.select("id", "ptr", F.lit(1).cast("bigint").alias("w"), F.col("ptr").alias("low"), seg.alias("seg"))
-    state = durable(_forests(first, parts, paths))
-    if parts == 1:
-        settled = state.select("id", "root", F.col("off").alias("depth"), "seg")
-    else:
-        ends = state.filter("not cyclic and off = 0 and ext is not null").select("id", "ext")
-        own = state.select(F.col("id").alias("ext"), "root", "off", "cyclic", "low", F.col("seg").alias("seg2"))
-        met = durable(ends.join(own, "ext"))  # a parent without a row drops out: the end is then the root
-        cut = met.filter("cyclic").select("id", F.col("root").alias("top"), F.lit(-1).cast("bigint").alias("more"), F.lit(None).cast("array<string>").alias("rest"))
-        links = durable(
-            met.filter("not cyclic").select(
-                "id",
-                F.col("root").alias("ptr"),
-                (1 + F.col("off")).alias("w"),
-                F.least("ext", "low").alias("low"),
-                (F.concat(F.array("ext"), F.col("seg2")) if paths else F.lit(None).cast("array<string>")).alias("seg"),
-            )
-        )
-        tops = durable(cut.unionByName(_settle_with_ends(links, cut, links_per_task, paths, max(1, parts // 4)))) if links.head(1) else cut
-        settled = state.alias("s").join(tops.alias("t"), F.col("s.root") == F.col("t.id"), "left").select(
-            F.col("s.id").alias("id"),
-            F.when(F.col("cyclic"), F.col("root")).otherwise(F.coalesce("top", "root")).alias("root"),
-            F.when(F.col("cyclic") | (F.coalesce("more", F.lit(0)) < 0), F.lit(-1)).otherwise(F.col("off") + F.coalesce("more", F.lit(0))).alias("depth"),
-            F.when(~F.col("cyclic") & (F.coalesce("more", F.lit(0)) >= 0), _joined(F.col("seg"), F.col("rest"))).alias("seg"),
-        )
-    out = [F.col("id").alias("element_id"), F.col("root").alias("top_id"), F.col("depth").cast("int").alias("depth")]
+    placed = first.coalesce(1) if n <= links_per_task else first.repartitionByRange(_parts(n, links_per_task), "id")
+    state = durable(_forests(placed, paths))
+    if n <= links_per_task:
+        settled = state.select("id", F.col("root").alias("top"), F.col("off").alias("more"), F.col("seg").alias("rest"))
+    else:  # a parent without a row drops out: the end is then the root
+        done, links = _contracted(state, False)
+        settled = _through(state, done, links, links_per_task, paths, 1)
+    out = [F.col("id").alias("element_id"), F.col("top").alias("top_id"), F.col("more").cast("int").alias("depth")]
     if paths:
-        out.append(F.when(F.col("depth") >= 0, F.concat(F.reverse("seg"), F.array("id"))).alias("path"))
+        out.append(F.when(F.col("more") >= 0, F.concat("rest", F.array("id"))).alias("path"))
     return settled.select(*out)
 
 

@@ -149,7 +149,7 @@ def chains(links):
     return out
 
 
-@pytest.mark.parametrize("per_task", [1000, 40, 7])
+@pytest.mark.parametrize("per_task", [1000, 60])
 @pytest.mark.parametrize("seed", [1, 2])
 def test_hierarchy_against_walking(spark, seed, per_task):
     rnd = random.Random(seed)
@@ -167,24 +167,56 @@ def test_hierarchy_against_walking(spark, seed, per_task):
 def test_long_chain_and_far_cycle(spark):
     links = {f"c{i:03d}": f"c{i - 1:03d}" if i else None for i in range(150)} | {f"z{i:02d}": f"z{(i + 1) % 30:02d}" for i in range(30)} | {"tail": "z05", "self": "self"}
     df = spark.createDataFrame(list(links.items()), "id string, parent_id string").repartition(5)
-    got = {r.element_id: (r.top_id, r.depth) for r in hierarchy.hierarchy(df, loaded=None, links_per_task=11).collect()}
+    got = {r.element_id: (r.top_id, r.depth) for r in hierarchy.hierarchy(df, loaded=None, links_per_task=60).collect()}
     assert got == {k: v[:2] for k, v in chains(links).items()}
 
 
-def test_the_last_task_takes_no_more_links_than_it_should(spark, monkeypatch):
+def task_sizes(monkeypatch):
+    """The links of each partition that a forest is made of."""
     real, seen = hierarchy._forests, []
 
-    def spy(links, parts, paths):
-        seen.append((links.count(), parts))
-        return real(links, parts, paths)
+    def spy(placed, paths, last=False):
+        seen.extend(r["count"] for r in placed.groupBy(F.spark_partition_id()).count().collect())
+        return real(placed, paths, last)
 
     monkeypatch.setattr(hierarchy, "_forests", spy)
-    rows = [(f"c{i:02d}", f"c{i - 1:02d}", 1, f"c{i - 1:02d}", [f"c{i - 1:02d}"]) for i in range(1, 41)]
-    links = spark.createDataFrame(rows, "id string, ptr string, w bigint, low string, seg array<string>")
-    for per_task in (5, 100):
-        got = {r.id: (r.root, r.depth) for r in hierarchy._settle(links, per_task, False, 1).collect()}
-        assert got == {f"c{i:02d}": ("c00", i) for i in range(1, 41)}
-    assert seen == [(40, 1)]
+    return seen
+
+
+def hierarchy_of(spark, links, paths, per_task):
+    df = spark.createDataFrame(list(links.items()), "id string, parent_id string").repartition(4)
+    return {r.element_id: (r.top_id, r.depth, r.path if paths else None) for r in hierarchy.hierarchy(df, loaded=None, paths=paths, links_per_task=per_task).collect()}
+
+
+def scattered(rnd, links):
+    """The same trees with ids in no order."""
+    names = {i: f"{rnd.randrange(1 << 40):010x}-{i}" for i in links}
+    return {names[i]: names.get(p, p) for i, p in links.items()}
+
+
+def test_ids_in_any_order_need_only_forests_of_bounded_size(spark, monkeypatch):
+    rnd = random.Random(5)
+    links = scattered(rnd, {i: None if i == 1 else i // 2 for i in range(1, 16_001)})
+    seen = task_sizes(monkeypatch)
+    got = hierarchy_of(spark, links, False, 500)
+    assert got == {i: (v[0], v[1], None) for i, v in chains(links).items()}
+    assert max(seen) <= 500
+
+
+@pytest.mark.parametrize("shape", ["chain", "cycle", "hub", "forest"])
+def test_scattered_shapes_over_several_levels(spark, monkeypatch, shape):
+    rnd = random.Random(6)
+    n = 700
+    links = {
+        "chain": {i: i - 1 if i else None for i in range(n)},
+        "cycle": {i: (i + 1) % 300 if i < 300 else i - 37 if i < 600 else None for i in range(n)},
+        "hub": {i: None if i == 0 else 0 if i % 3 == 0 else i - 1 for i in range(n)},
+        "forest": {i: "gone" if i % 7 == 0 else i - 1 for i in range(n)},
+    }[shape]
+    links = scattered(rnd, links)
+    seen = task_sizes(monkeypatch)
+    assert hierarchy_of(spark, links, True, 200) == chains(links)
+    assert max(seen) <= 200
 
 
 def test_hierarchy_edges(spark):
