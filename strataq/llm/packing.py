@@ -4,8 +4,9 @@ Items are texts, sized in tokens.  A text longer than the capacity is cut into f
 containers and a rest; no other is cut.  How sizes are combined is decided on the
 histogram of sizes alone, which has at most ``capacity`` entries however many texts
 there are: the Martello-Toth reduction fixes small sets of sizes that dominate every
-other set with the same largest size, then best fit fills up the rest, largest
-sizes first, many equal containers at a time.  The texts of one size are numbered
+other set with the same largest size, then best fit puts the rest, largest sizes
+first, each into the fullest container that still holds it; containers with equal
+room are handled together.  The texts of one size are numbered
 with salted partial counts, so a size that a third of all texts have is numbered by
 many tasks, and find their container by binary search.
 
@@ -21,28 +22,28 @@ Defined results
 
 from __future__ import annotations
 
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataq.session import durable
 
 #: A maximal run of letters, digits and underscores, or of other characters that are not white space.
-TOKEN = r"(?U)[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]+"
+#: The separators U+001C to U+001F are white space to the pattern of TESTDATA.md, but not to Java's ``\s``.
+TOKEN = r"(?U)[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s\x1C-\x1F]+"
 #: Texts of one size that one task numbers.
 PER_SALT = 500_000
-#: Up to so many sizes (about 40 bytes each) their salts go to all tasks; beyond it they are joined by key.
-BROADCAST_SIZES = 200_000
 
 
 def n_tokens(text: Column) -> Column:
     """Counted by deletion: each run becomes one mark, everything else nothing."""
     marked = F.regexp_replace(text, TOKEN, "\u0001")
-    return F.coalesce(F.length(F.regexp_replace(marked, r"(?U)\s+", "")), F.lit(0))
+    return F.coalesce(F.length(F.regexp_replace(marked, r"(?U)[\s\x1C-\x1F]+", "")), F.lit(0))
 
 
 class Histogram:
@@ -118,45 +119,63 @@ def dominant(h: Histogram, s: int, capacity: int) -> dict[int, int] | None:
     return None
 
 
-def fill_plan(counts: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int, bool]]:
-    """(sizes in one container, how many such containers, whether by dominance).
+class Rooms:
+    """Open containers by the room they have left, as ranges of container numbers."""
 
-    Each step uses up a size or as many equal containers as there can be, so there
-    are at most a few steps a size.
+    def __init__(self, least: int):
+        self.least, self.ranges, self.rooms = least, {}, []
+
+    def add(self, room: int, base: int, n: int) -> None:
+        if n and room >= self.least:  # else nothing that is left fits in
+            if room not in self.ranges:
+                self.ranges[room] = []
+                self.rooms.insert(bisect_left(self.rooms, room), room)
+            self.ranges[room].append((base, n))
+
+    def tightest(self, size: int) -> tuple[int, int, int] | None:
+        """(room, first container, how many) of a range with the least room that holds ``size``; taken out."""
+        i = bisect_left(self.rooms, size)
+        if i == len(self.rooms):
+            return None
+        room = self.rooms[i]
+        base, n = self.ranges[room].pop()
+        if not self.ranges[room]:
+            del self.ranges[room], self.rooms[i]
+        return room, base, n
+
+
+def fill_plan(counts: dict[int, int], capacity: int) -> tuple[list[tuple[int, int, int, int]], int]:
+    """Segments (size, first container, items of it in a container, items in all), and the number of containers.
+
+    The items of a size take its segments one after the other.  Each segment uses up
+    a size or a range of containers with equal room.
     """
-    h, plan = Histogram(counts), []
+    h, out, base = Histogram(counts), [], 0
     for s in sorted(h.sizes, reverse=True):  # the reduction, largest first
         while h.count.get(s, 0):
             p = dominant(h, s, capacity)
             if p is None:
                 break
-            n = max(1, _times(h, p))
             # What is taken only shrinks the alternatives: the set dominates as often as its sizes last.
-            plan.append((p, n, True))
+            n = max(1, _times(h, p))
+            out += [(x, base, m, m * n) for x, m in p.items()]
+            base += n
             h.take(p, n)
-    while h.sizes:
-        p, room = {h.sizes[-1]: 1}, capacity - h.sizes[-1]
-        while (s := h.fit(room, p)) > 0:
-            m = min(room // s, h.count[s] - p.get(s, 0))
-            p = p | {s: p.get(s, 0) + m}
-            room -= s * m
-        n = _times(h, p)
-        plan.append((p, n, False))
-        h.take(p, n)
-    return plan
-
-
-def _segments(plan: list[tuple[dict[int, int], int, bool]]) -> dict[int, list[tuple[int, int, int]]]:
-    """By size: (first rank, first container, items of that size in a container)."""
-    out: dict[int, list[tuple[int, int, int]]] = {}
-    used: dict[int, int] = {}
-    base = 0
-    for pattern, times, _ in plan:
-        for s, m in pattern.items():
-            out.setdefault(s, []).append((used.get(s, 0), base, m))
-            used[s] = used.get(s, 0) + m * times
-        base += times
-    return out
+    rooms = Rooms(min(h.sizes, default=1))
+    for s in sorted(h.sizes, reverse=True):  # best fit
+        left = h.count[s]
+        while left:
+            room, first, n = rooms.tightest(s) or (capacity, base, left)
+            # The fullest container that holds one more is the one just filled, as long as it holds one.
+            m = min(room // s, left)
+            k = min(n, left // m)
+            if first == base:  # none holds it: new containers
+                base, n = base + k, k
+            out.append((s, first, m, m * k))
+            rooms.add(room - m * s, first, k)
+            rooms.add(room, first + k, n - k)
+            left -= m * k
+    return out, base
 
 
 def pieces(documents: DataFrame, kinds: list[tuple[str, int]], key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -186,35 +205,30 @@ def pack(documents: DataFrame, containers: DataFrame, key: str = "doc_id", text:
     counts: dict[str, dict[int, int]] = {k: {} for k, _ in kinds}
     for r in some.groupBy("container_kind", "size").agg(F.count(F.lit(1)).alias("n")).collect():
         counts[r.container_kind][r.size] = r.n
-    salts = [(k, s, -(-n // per_salt)) for k, by in counts.items() for s, n in by.items()]
-    if salts:
-        known = spark.createDataFrame(salts, "container_kind string, size int, salts int")
-        if len(salts) <= BROADCAST_SIZES:  # then a size that many texts have isn't shuffled
-            known = F.broadcast(known)
-        some = some.join(known, ["container_kind", "size"]).withColumn("salt", F.pmod(F.xxhash64("doc", "piece"), F.col("salts")).cast("int")).drop("salts")
-    else:
-        some = some.withColumn("salt", F.lit(0))
+    # Sizes that many texts have are numbered in parts: at most one row for each ``per_salt`` texts, so they go to all tasks.
+    many = [(k, s, -(-n // per_salt)) for k, by in counts.items() for s, n in by.items() if n > per_salt]
+    known = F.broadcast(spark.createDataFrame(many, "container_kind string, size int, salts int"))
+    salt = F.pmod(F.xxhash64("doc", "piece"), F.coalesce("salts", F.lit(1))).cast("int")
+    some = some.join(known, ["container_kind", "size"], "left").withColumn("salt", salt).drop("salts")
     # One row a size and salt: as many as sizes, and one more for each ``per_salt`` texts.
     salted = some.groupBy("container_kind", "size", "salt").agg(F.count(F.lit(1)).alias("n")).collect()
+    names = pa.array([k for k, _ in kinds])
     number = {k: i for i, (k, _) in enumerate(kinds)}
-    plan = [(number[k] << 32 | s, *seg) for k, c in kinds for s, segs in _segments(fill_plan(counts[k], c)).items() for seg in segs]
-    code, first, base, per = (np.array(x, np.int64) for x in zip(*sorted(plan), strict=True)) if plan else (np.zeros(0, np.int64),) * 4
-    starts = np.flatnonzero(np.r_[True, code[1:] != code[:-1]]) if plan else code
-    # One increasing sequence: the segments of all sizes, each shifted past those before it.
-    total = np.cumsum([0, *(counts[k][s] for k, s in ((kinds[c >> 32][0], c & 0xFFFFFFFF) for c in code[starts].tolist()))])
-    shift = dict(zip(code[starts].tolist(), total.tolist(), strict=False))
-    begin = first + np.array([shift[c] for c in code.tolist()], np.int64)
-    offset, ran = {}, {}
-    for r in sorted(salted, key=lambda r: (r.container_kind, r.size, r.salt)):
-        c = number[r.container_kind] << 32 | r.size
-        offset[c, r.salt] = shift[c] + ran.get(c, 0)
-        ran[c] = ran.get(c, 0) + r.n
+    plan = [(number[k] << 32 | s, i, base, per, n) for k, c in kinds for i, (s, base, per, n) in enumerate(fill_plan(counts[k], c)[0])]
+    code, _, base, per, taken = (np.array(x, np.int64) for x in zip(*sorted(plan), strict=True)) if plan else (np.zeros(0, np.int64),) * 5
+    # One increasing sequence of items: the segments of all sizes, one after the other.
+    begin = np.cumsum(taken) - taken
+    parts = sorted((number[r.container_kind] << 32 | r.size, r.salt, r.n) for r in salted)
+    code_of, salt_of, n_of = (np.array(x, np.int64) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, np.int64),) * 3
+    start_of = np.cumsum(n_of) - n_of
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        width = int(salt_of.max(initial=0)) + 1
+        keys = np.searchsorted(code, code_of) * width + salt_of
         for b in batches:
-            kind = [number[k] << 32 for k in b.column("container_kind").to_pylist()]
-            at = np.fromiter((offset[k | s, t] for k, s, t in zip(kind, b.column("size").to_pylist(), b.column("salt").to_pylist(), strict=True)), np.int64, b.num_rows)
-            at += b.column("rank").to_numpy(zero_copy_only=False) - 1
+            kind = pc.index_in(b.column("container_kind"), value_set=names).to_numpy(zero_copy_only=False).astype(np.int64)
+            own = np.searchsorted(code, kind << 32 | b.column("size").to_numpy()) * width + b.column("salt").to_numpy()
+            at = start_of[np.searchsorted(keys, own)] + b.column("rank").to_numpy(zero_copy_only=False) - 1
             j = np.searchsorted(begin, at, "right") - 1
             out = base[j] + (at - begin[j]) // per[j]
             yield pa.RecordBatch.from_arrays(

@@ -83,17 +83,40 @@ def test_second_hash_has_a_seed_of_its_own(spark):
 def test_plan_holds_each_item_once(capacity, sizes):
     sizes = [min(s, capacity) for s in sizes]
     counts = {s: sizes.count(s) for s in sizes}
-    plan = packing.fill_plan(counts, capacity)
-    left = dict(counts)
-    for p, n, _ in plan:
-        assert sum(s * m for s, m in p.items()) <= capacity
-        for s, m in p.items():
-            left[s] -= m * n
-    assert not any(left.values())
-    bins = sum(n for _, n, _ in plan)
+    plan, bins = packing.fill_plan(counts, capacity)
+    filled, left = {}, dict(counts)
+    for size, first, m, n in plan:
+        for i in range(n):
+            filled[first + i // m] = filled.get(first + i // m, 0) + size
+        left[size] -= n
+    assert not any(left.values()) and sorted(filled) == list(range(bins))
+    assert max(filled.values(), default=0) <= capacity
     assert bins <= max(1, -(-11 * -(-sum(sizes) // capacity) // 9) + 2, (17 * -(-sum(sizes) // capacity)) // 10 + 1)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.integers(5, 40), st.lists(st.integers(1, 40), max_size=60))
+def test_the_rest_is_filled_as_item_by_item_best_fit_does(capacity, sizes):
+    sizes = [min(s, capacity) for s in sizes]
+    before = packing.dominant
+    packing.dominant = lambda h, s, c: None
+    try:
+        plan, bins = packing.fill_plan({s: sizes.count(s) for s in sizes}, capacity)
+    finally:
+        packing.dominant = before
+    rooms = []
+    for s in sorted(sizes, reverse=True):
+        fits = [r for r in rooms if r >= s]
+        if fits:
+            rooms.remove(min(fits))
+        rooms.append((min(fits) if fits else capacity) - s)
+    filled = {}
+    for size, first, m, n in plan:
+        for i in range(n):
+            filled[first + i // m] = filled.get(first + i // m, 0) + size
+    assert sorted(capacity - f for f in filled.values()) == sorted(rooms)
+
+
 def best(sizes, capacity):
     """The fewest containers, by trying all."""
     sizes, bound = sorted(sizes, reverse=True), [len(sizes)]
@@ -129,7 +152,7 @@ def test_dominated_sets_lose_nothing(sizes):
 
 def test_pack(spark):
     rnd = random.Random(1)
-    texts = {i: " ".join(rnd.choice(["a", "b2", "c-d", "é.", "日本", "x_1!"]) for _ in range(rnd.choice([0, 1, 2, 3, 7, 50, 300]))) for i in range(300)} | {900: None, 901: " \n", 902: "w " * 5000, 903: "a!! ²b"}
+    texts = {i: " ".join(rnd.choice(["a", "b2", "c-d", "é.", "日本", "x_1!"]) for _ in range(rnd.choice([0, 1, 2, 3, 7, 50, 300]))) for i in range(300)} | {900: None, 901: " \n", 902: "w " * 5000, 903: "a!! ²b", 904: "a\x1cb!\x1f\x1e?"}
     docs = spark.createDataFrame([(i, t, "z") for i, t in texts.items()], "doc_id bigint, text string, rank string").repartition(3)
     kinds = spark.createDataFrame([("s", 16), ("l", 100), ("l", 400), ("bad", 0), (None, 5), ("none", None)], "container_kind string, capacity bigint")
     out = packing.pack(docs, kinds, per_salt=20).toPandas()
