@@ -201,8 +201,25 @@ def test_leaks_against_brute_force(spark):
         for k in range(len(w) - 12):
             want |= {(i, j) for j in windows.get(tuple(w[k : k + 13]), ())}
     assert got == want and len(want) > 20
-    in_blocks = leakage.leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"), items_at_once=7)
-    assert {tuple(r) for r in in_blocks.collect()} == want
+    by_key = leakage.leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"), broadcast_windows=0, hot=3)
+    assert {tuple(r) for r in by_key.collect()} == want
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text("abz09_ .,-éß²١ⅷ\u0301𝔸\n", max_size=60))
+def test_words_are_runs_of_letters_and_digits(text):
+    want = re.findall(r"[^\W_]+", lookalike.fold(text).lower())
+    assert leakage.words_of(text) == want
+    a, z, h = leakage._places(lookalike.fold(text).lower())
+    again = {w: leakage._places(w)[2][0] for w in want}
+    assert [again[w] for w in want] == h.tolist() and len(set(again.values())) == len(again)
+
+
+def test_stretches_of_a_long_text(monkeypatch):
+    text = " ".join(f"w{i * i}" for i in range(3000))
+    whole = leakage._places(text)[2]
+    monkeypatch.setattr(leakage, "BLOCK", 50)
+    assert (leakage._places(text)[2] == whole).all()
 
 
 def test_leaks_of_nothing(spark):
