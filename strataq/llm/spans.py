@@ -9,13 +9,15 @@ and those of two or more records kept.
 
 Two readings of the texts: the first counts records by minimiser (16 bytes a
 super-k-mer travel), the second sends only super-k-mers whose minimiser two records
-have, told by a bit map of fixed size whose false positives cost time, not results.
-A minimiser with more super-k-mers than a task should hold is split by record; its
-sub-buckets settle what repeats within them.  All places of a window that one record
-holds there, and one row for a window of several, go on to be compared between
-sub-buckets.
+have, told by a bit map whose false positives cost time, not results.  Runs of equal
+minimisers are cut at ``RUN`` windows, so a super-k-mer has a bounded length.  A
+minimiser with more super-k-mers than a task should hold is split by record and
+place; its sub-buckets settle what repeats within them.  All places of a window that
+one record holds there, and a row for each of two records of a window of several, go
+on to be compared between sub-buckets.
 
-Windows are compared by two independent 64-bit polynomial hashes, that is 128 bits.
+Windows are sorted by hash and those that meet are compared character by character
+(``_agree``).  Between sub-buckets, where only hashes travel, two 64-bit hashes count.
 
 Defined results
 ---------------
@@ -44,10 +46,12 @@ SPAN = 300
 M = 64
 #: Super-k-mers of one minimiser that a task takes at once.
 PER_BUCKET = 8_000
-#: Minimisers that are split by record, at most.
+#: Windows of a super-k-mer, at most.
+RUN = 1024
+#: Minimisers that are split by record and place, at most.
 MAX_HOT = 1_000_000
-#: Bits of the map of shared minimisers.
-MAP_BITS = 1 << 27
+#: Bits of the map for each shared minimiser, and the most bits it has: beyond, more text travels and the result stays the same.
+BITS_EACH, MOST_BITS = 16, 1 << 30
 #: Code points worked on at once.
 BLOCK = 1 << 18
 #: Places of windows written at once.
@@ -120,6 +124,12 @@ def _runs(held: list[tuple[int, int, np.ndarray]], span: int, m: int) -> tuple[n
     starts = np.flatnonzero(fresh & valid[:-1])
     stops = np.flatnonzero(np.concatenate([fresh | ~valid[:-1], [True]]))
     ends = stops[np.searchsorted(stops, starts, "right")]
+    # Long runs are cut.
+    pieces = -(-(ends - starts) // RUN)
+    if (pieces > 1).any():
+        nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        starts, ends = np.repeat(starts, pieces) + nth * RUN, np.repeat(ends, pieces)
+        ends = np.minimum(starts + RUN, ends)
     part = np.searchsorted(begins, starts, "right") - 1
     text = np.array([k for k, _, _ in held])[part]
     offset = np.array([at for _, at, _ in held])[part]
@@ -140,7 +150,7 @@ def _counted(docs: DataFrame, span: int, m: int) -> DataFrame:
 
 
 def _bit_map(shared: DataFrame, bits: int) -> np.ndarray:
-    """A bit for each shared minimiser; ``bits`` bits, whatever the input."""
+    """A bit for each shared minimiser, in ``bits`` bits."""
     at = (F.col("low") % bits).cast("bigint")
     rows = (
         shared.select(at.alias("at"))
@@ -165,7 +175,7 @@ def _position(low: np.ndarray, bits: int) -> np.ndarray:
 
 def _packed(docs: DataFrame, marks: np.ndarray, bits: int, hot: dict[int, int], span: int, m: int) -> DataFrame:
     """(low, salt, id, at, text): the super-k-mers that may be shared."""
-    held = docs.sparkSession.sparkContext.broadcast(marks)  # of fixed size
+    held = docs.sparkSession.sparkContext.broadcast(marks)  # of bounded size
     hot_lows = np.array(sorted(hot), np.int64)
     hot_salts = np.array([hot[x] for x in sorted(hot)], np.int64)
 
@@ -183,7 +193,7 @@ def _packed(docs: DataFrame, marks: np.ndarray, bits: int, hot: dict[int, int],
                 salt = np.full(len(keep), -1, np.int64)
                 if len(hot_lows):
                     i = np.minimum(np.searchsorted(hot_lows, low), len(hot_lows) - 1)
-                    salt = np.where(hot_lows[i] == low, code[text] % hot_salts[i], -1)
+                    salt = np.where(hot_lows[i] == low, (code[text] + start // RUN * 7919) % hot_salts[i], -1)
                 cut = [texts[k][s : s + w + span - 1] for k, s, w in zip(text.tolist(), start.tolist(), n.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(low), pa.array(salt, pa.int64()), ids.take(pa.array(text)), pa.array(start, pa.int64()), pa.array(cut, pa.string())],
@@ -221,32 +231,62 @@ def window_hashes(codes: np.ndarray, span: int, powers: _Powers) -> tuple[np.nda
     return out[0], out[1]
 
 
+def _agree(codes: np.ndarray, at: np.ndarray, row: np.ndarray, first_of: np.ndarray, span: int) -> bool:
+    """Whether every window has the characters of the first window with its hash.
+
+    Where the window before it agrees with the window before that one, only the last
+    character is left to compare.
+    """
+    w = np.flatnonzero(first_of != np.arange(len(at)))
+    r = first_of[w]
+    on = (w > 0) & (r > 0)
+    on[on] = (row[w[on]] == row[w[on] - 1]) & (row[r[on]] == row[r[on] - 1]) & (first_of[w[on] - 1] == r[on] - 1)
+    if (codes[at[w[on]] + span - 1] != codes[at[r[on]] + span - 1]).any():
+        return False
+    w, r = w[~on], r[~on]
+    for i in range(0, len(w), 4096):
+        a, b = (at[x[i : i + 4096], None] + np.arange(span) for x in (w, r))
+        if (codes[a] != codes[b]).any():
+            return False
+    return True
+
+
 def _sorted_windows(texts: list[str], owners: list[list[int]], span: int, powers: _Powers):
-    """Hashes of all windows of distinct strings, and whether two records hold each.
+    """Hashes of all windows of distinct strings, whether two records hold each, and which of each window.
 
     ``owners``: the smallest and largest record number of each string.
     """
     codes = [code_points(t) for t in texts]
     n = np.array([len(c) - span + 1 for c in codes])
-    h1, h2 = window_hashes(np.concatenate(codes), span, powers)
+    joined = np.concatenate(codes)
+    h1, h2 = window_hashes(joined, span, powers)
     ends = np.cumsum(n + span - 1)
     begins = ends - (n + span - 1)
     row = np.repeat(np.arange(len(n)), n)
     first = np.cumsum(n) - n
     at = begins[row] + (np.arange(len(row)) - first[row])
     h1, h2 = h1[at], h2[at]
-    order = np.argsort(h1)
-    same = h1[order[1:]] == h1[order[:-1]]
-    if (same & (h2[order[1:]] != h2[order[:-1]])).any():
-        order = np.lexsort((h2, h1))
-        same = (h1[order[1:]] == h1[order[:-1]]) & (h2[order[1:]] == h2[order[:-1]])
-    group = np.concatenate([[0], np.flatnonzero(~same) + 1])
+
+    def grouped(k1: np.ndarray, k2: np.ndarray):
+        order = np.argsort(k1)
+        same = k1[order[1:]] == k1[order[:-1]]
+        if (same & (k2[order[1:]] != k2[order[:-1]])).any():
+            order = np.lexsort((k2, k1))
+            same = (k1[order[1:]] == k1[order[:-1]]) & (k2[order[1:]] == k2[order[:-1]])
+        group = np.concatenate([[0], np.flatnonzero(~same) + 1])
+        number = np.empty(len(order), np.int64)
+        number[order] = np.cumsum(np.concatenate([[0], ~same]))
+        return order, group, number
+
+    order, group, number = grouped(h1, h2)
+    if not _agree(joined, at, row, np.minimum.reduceat(order, group)[number], span):
+        # Two windows with the same hashes: told apart by their characters.
+        known: dict[bytes, int] = {}
+        exact = np.fromiter((known.setdefault(joined[a : a + span].tobytes(), len(known)) for a in at.tolist()), np.int64, len(at))
+        order, group, number = grouped(exact, exact)
     least, most = np.array([o[0] for o in owners])[row][order], np.array([o[1] for o in owners])[row][order]
     low, high = np.minimum.reduceat(least, group), np.maximum.reduceat(most, group)
-    number = np.cumsum(np.concatenate([[0], ~same]))
-    shared = np.empty(len(row), bool)
-    shared[order] = (low != high)[number]
-    return h1, h2, row, first, n, shared, order[group], (low != high)
+    return h1, h2, row, first, n, (low != high)[number], order[group], low, high
 
 
 def _stretches(flags: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -283,7 +323,8 @@ def _settled(packed: DataFrame, span: int, hot: bool) -> DataFrame:
         powers = _Powers()
         for t in groups(batches):
             ids = t["id"].combine_chunks()
-            record = ids.dictionary_encode().indices.to_numpy()
+            coded = ids.dictionary_encode()
+            record = coded.indices.to_numpy()
             texts, at = t["text"].to_pylist(), t["at"].to_numpy()
             # Equal strings are worked on once.
             rows_of: dict[str, list[int]] = {}
@@ -294,10 +335,10 @@ def _settled(packed: DataFrame, span: int, hot: bool) -> DataFrame:
             for x in whole:
                 r = record[rows_of[x]]
                 owners.append([int(r.min()), int(r.max())])
-            yield from found(rows_of, owners, whole, at, ids, powers)
+            yield from found(rows_of, owners, whole, at, ids, coded.dictionary, powers)
 
-    def found(rows_of, owners, whole, at, ids, powers) -> Iterator[pa.RecordBatch]:
-        h1, h2, row, first, n, shared, one_each, both = _sorted_windows(whole, owners, span, powers)
+    def found(rows_of, owners, whole, at, ids, held, powers) -> Iterator[pa.RecordBatch]:
+        h1, h2, row, first, n, shared, one_each, low, high = _sorted_windows(whole, owners, span, powers)
         begin, last = _stretches(shared, row)
         out_i, out_a, out_b = [], [], []
         for a, z, r in zip((begin - first[row[begin]]).tolist(), (last - first[row[begin]]).tolist(), row[begin].tolist(), strict=True):
@@ -310,10 +351,10 @@ def _settled(packed: DataFrame, span: int, hot: bool) -> DataFrame:
             names=["id", "a", "b", "h1", "h2"],
         )
         if hot:
-            # A shared window: only that it is there.
-            there = one_each[both]
-            i = np.array([rows_of[whole[r]][0] for r in row[there].tolist()], np.int64)
-            yield windows(ids, i, at[i] + there - first[row[there]], None, h1[there], h2[there])
+            # A shared window: only that two records hold it.
+            both = np.flatnonzero(low != high)
+            there = np.repeat(one_each[both], 2)
+            yield windows(held, np.stack([low[both], high[both]], 1).ravel(), np.zeros(len(there), np.int64), None, h1[there], h2[there])
             # A window of one record so far: all its places, in all equal strings.
             alone = np.flatnonzero(~shared)
             copies = np.array([len(rows_of[x]) for x in whole])
@@ -338,22 +379,23 @@ def _settled(packed: DataFrame, span: int, hot: bool) -> DataFrame:
 def _between(windows: DataFrame, span: int) -> DataFrame:
     """Places of windows that one record holds in its sub-bucket, and another holds elsewhere.
 
-    A record has one sub-bucket, so a window is held elsewhere if its rows have two records.
+    A window's rows have two records if one sub-bucket or two tell of them.
     """
     many = windows.groupBy("h1", "h2").agg(F.min("id").alias("p"), F.max("id").alias("q")).filter("p <> q").select("h1", "h2")
     return windows.filter("b = 0").join(many, ["h1", "h2"], "left_semi").select("id", "a", (F.col("a") + span).alias("b"))
 
 
 def stretches(
-    documents: DataFrame, key: str, text: str, span: int = SPAN, m: int = M, per_bucket: int = PER_BUCKET, bits: int = MAP_BITS
+    documents: DataFrame, key: str, text: str, span: int = SPAN, m: int = M, per_bucket: int = PER_BUCKET, bits: int | None = None
 ) -> DataFrame:
     """(id, a, b): shared stretches, overlapping where windows do."""
     docs = documents.select(F.col(key).alias("id"), F.col(text).alias("text"), F.pmod(F.xxhash64(key), F.lit(1 << 30)).alias("code"))
     docs = docs.filter(F.col("id").isNotNull() & (F.length("text") >= span))
     shared = durable(_counted(docs, span, m))
+    n, total = shared.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    bits = bits or min(MOST_BITS, 1 << max(20, (n * BITS_EACH - 1).bit_length()))
     marks = _bit_map(shared, bits)
     # Minimisers with many super-k-mers; the bound keeps them below ``MAX_HOT`` whatever the input.
-    total = shared.agg(F.sum("n")).first()[0] or 0
     per_bucket = max(per_bucket, math.ceil(total / MAX_HOT))
     hot = {r.low: math.ceil(r.n / per_bucket) for r in shared.filter(F.col("n") > per_bucket).toLocalIterator()}
     packed = _packed(docs, marks, bits, hot, span, m)

@@ -4,6 +4,7 @@ import random
 import re
 import string
 
+import numpy as np
 import pytest
 from helpers import element, elements, pairs
 from hypothesis import given, settings
@@ -299,6 +300,31 @@ def test_long_texts_are_cut_and_put_together(spark):
     assert got == [(1, 100, 100 + len(body)), (2, 0, len(body)), (4, 0, 300)]
 
 
+@pytest.mark.parametrize("kept", [0, 1, 3])
+def test_windows_whose_hashes_meet_are_told_apart(monkeypatch, kept):
+    rnd = random.Random(3)
+    pool = ["".join(rnd.choice("abc") for _ in range(9)) for _ in range(5)]
+    texts = list(dict.fromkeys("".join(rnd.choice(pool) for _ in range(rnd.randrange(1, 5))) for _ in range(30)))
+    owners = [sorted((rnd.randrange(4), rnd.randrange(4))) for _ in texts]
+    real = spans.window_hashes
+    monkeypatch.setattr(spans, "window_hashes", lambda *a: tuple(h & np.uint64(kept) for h in real(*a)))
+    shared = spans._sorted_windows(texts, owners, 6, spans._Powers())[5]
+    held = {}
+    for t, o in zip(texts, owners, strict=True):
+        for k in range(len(t) - 5):
+            held.setdefault(t[k : k + 6], set()).update(o)
+    assert shared.tolist() == [len(held[t[k : k + 6]]) > 1 for t in texts for k in range(len(t) - 5)]
+
+
+def test_one_record_with_one_minimiser_throughout_is_split(spark):
+    """A long periodic record: its super-k-mers are cut and spread, and found wherever a partner is."""
+    docs = [(1, "ab" * 6000), (2, "x" * 30 + "ab" * 60 + "y"), (3, "cd" * 3000)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    assert pairs(spans.shared_spans(df, span=20, m=8, per_bucket=2, bits=1 << 16)) == [(1, 0, 12000), (2, 30, 150)]
+    counts = spans._packed(df.selectExpr("doc_id id", "text", "doc_id code"), np.full(1 << 14, 255, np.uint8), 1 << 16, {int(x): 5 for x in spans.minimisers(spans.code_points("ab" * 20), 20, 8)}, 20, 8)
+    assert counts.filter("id = 1").select("salt").distinct().count() > 1 and counts.selectExpr("max(length(text))").first()[0] <= spans.RUN + 19
+
+
 def test_no_spans(spark):
     schema = "doc_id bigint, text string"
     assert spans.shared_spans(spark.createDataFrame([], schema)).count() == 0
