@@ -14,13 +14,11 @@ from pyspark.sql import functions as F
 LIGATURES = {"ﬁ": "fi", "ﬂ": "fl", "ﬀ": "ff", "ﬃ": "ffi", "ﬄ": "ffl"}
 ENTITIES = {"&lt;": "<", "&gt;": ">", "&amp;": "&"}
 
-# Words that lost a ligature on the way, as (left part, right part, whole word).
-BROKEN_WORDS = [
-    ("speci", "ed", "specified"), ("de", "ned", "defined"), ("classi", "ed", "classified"), ("identi", "ed", "identified"),
-    ("modi", "ed", "modified"), ("certi", "ed", "certified"), ("simpli", "ed", "simplified"), ("quali", "ed", "qualified"),
-    ("satis", "ed", "satisfied"), ("con", "guration", "configuration"), ("coef", "cient", "coefficient"),
-    ("signi", "cant", "significant"), ("ef", "cient", "efficient"),
-]
+# Words that come out with a gap where their ligature was.
+LIGATURE_WORDS = (
+    "specified", "defined", "classified", "identified", "modified", "certified", "simplified", "qualified", "satisfied", "configuration", "coefficient",
+    "significant", "efficient",
+)
 
 SPACE = r"[\s\p{Z}]"
 NUMBER = r"\d+\.\d+-\d+"
@@ -56,11 +54,16 @@ def fix_text(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, SPACE + "+", " "))
 
 
+def gaps() -> list[tuple[str, str]]:
+    """(pattern, word): how each word looks whose last "fi" became a gap."""
+    return [(r"\s+".join(w.rsplit("fi", 1)), w) for w in LIGATURE_WORDS]
+
+
 def repair_words(c: Column) -> Column:
     """Words whose ligature came out as a gap, put together again."""
     c = _replaced(c, LIGATURES)
-    for left, right, word in BROKEN_WORDS:
-        c = F.regexp_replace(c, rf"{left}\s+{right}", word)
+    for gap, word in gaps():
+        c = F.regexp_replace(c, gap, word)
     return F.regexp_replace(F.regexp_replace(c, r"([\p{L}\p{N}_])- ([\p{L}\p{N}_])", "$1$2"), "  +", " ")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed values.
+# The words and patterns that tell types apart; those in the functions below too.
 REGULATORY = ("shall ", "shall not", "is permitted", "must be", "are required", "is required", "are permitted", "need not", "is not required")
 REGULATORY_SHORT = REGULATORY[:5]
 REGULATORY_MEDIUM = REGULATORY[:7]

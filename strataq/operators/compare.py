@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataq.operators.copydiff import Field, as_set, same_list, same_map, same_number, same_struct, same_text, same_value
+from strataq.operators.copydiff import RTOL, Field, as_set, same_list, same_map, same_struct, same_text, same_value
+from strataq.session import durable
+
+Equal = Callable[[Column, Column], Column]
 
 # Which fields of which types bear the exact wording; all others are helpers.
 AUTHORITATIVE = {
@@ -23,16 +28,40 @@ def exact_text(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b)
 
 
-def _near_ends(a: Column, b: Column) -> Column:
-    return same_list(same_number)(a, b)
+def near(a: Column, b: Column) -> Column:
+    """Numbers within the tolerance of the larger one; beside a nought of the first run, within the tolerance itself."""
+    held = F.when(a == 0, F.abs(b) <= RTOL).otherwise(F.abs(a - b) <= RTOL * F.greatest(F.abs(a), F.abs(b)))
+    return (a.isNull() & b.isNull()) | F.coalesce(held, F.lit(False))
+
+
+def near_gold(gold: Column, found: Column) -> Column:
+    """Numbers within the tolerance of the gold one; beside a gold nought, within the tolerance itself."""
+    held = F.when(gold == 0, F.abs(found) <= RTOL).otherwise(F.abs(found - gold) <= RTOL * F.abs(gold))
+    return (gold.isNull() & found.isNull()) | F.coalesce(held, F.lit(False))
 
 
-_condition = same_struct(parameter=same_text, operator=same_text, value_num=same_number, value_str=same_text, unit=same_text)
-_parameter = same_struct(unit=same_text, range=_near_ends, source=same_text)
+def _whole(entries: Equal) -> Equal:
+    """Null equals null only."""
+    return lambda a, b: (a.isNull() & b.isNull()) | F.coalesce(a.isNotNull() & b.isNotNull() & entries(a, b), F.lit(False))
 
 
-def same_parameters(a: Column, b: Column) -> Column:
-    return (a.isNull() & b.isNull()) | F.coalesce(a.isNotNull() & b.isNotNull() & same_map(_parameter)(a, b), F.lit(False))
+TEXTS = ("rule", "then_text", "else_text", "term", "definition", "expression", "target", "url", "figure_type", "description")
+
+
+def payload(text: Equal, number: Equal) -> list[Field]:
+    """The whole payload of an element, its texts and numbers compared so."""
+    condition = same_struct(parameter=text, operator=text, value_num=number, value_str=text, unit=text)
+    parameter = same_struct(unit=text, range=same_list(number), source=text)
+    return [
+        *(Field(f"data.{c}", text) for c in TEXTS),
+        Field("data.conditions", same_list(condition)),
+        Field("data.exceptions", same_list(text)),
+        Field("data.columns", same_list(same_struct(name=text, unit=text))),
+        Field("data.rows", same_list(same_map(text))),
+        Field("data.parameters", _whole(same_map(parameter))),
+        Field("data.reference_parameters", same_list(text)),
+        Field("data.source_pdf_page", number),
+    ]
 
 
 RUN_FIELDS = [
@@ -41,18 +70,11 @@ RUN_FIELDS = [
     *(Field(f"source.{c}", same_value) for c in ("chapter", "page")),
     Field("title", exact_text),
     Field("description", exact_text),
-    *(Field(f"data.{c}", same_text) for c in ("rule", "then_text", "else_text", "term", "definition", "expression", "target", "url", "figure_type", "description")),
-    Field("data.conditions", same_list(_condition)),
-    Field("data.exceptions", same_list(same_text)),
-    Field("data.columns", same_list(same_struct(name=same_text, unit=same_text))),
-    Field("data.rows", same_list(same_map(same_text))),
-    Field("data.parameters", same_parameters),
-    Field("data.reference_parameters", same_list(same_text)),
-    Field("data.source_pdf_page", same_value),
+    *payload(same_text, near),
     Field("cross_references", lambda x, y: as_set(x).eqNullSafe(as_set(y))),
 ]
-#: The whole payload.
-GOLD_FIELDS = [f for f in RUN_FIELDS if f.path.startswith("data.")]
+#: Against gold rows texts count exactly.
+GOLD_FIELDS = payload(exact_text, near_gold)
 
 
 def severity(kind: Column, path: str) -> Column:
@@ -82,14 +104,13 @@ def match_runs(a: DataFrame, b: DataFrame, fields: list[Field] = RUN_FIELDS) ->
     """(id_a, id_b, basis, a, b): pairs by id, then by citation, then what is left.
 
     A citation pairs leftovers only where it is unique on both sides.  Both inputs
-    have one row an id.
+    have one row an id; each is read once, and the rows side by side are written.
     """
     left, right = _held(a, fields), _held(b, fields)
-    full = left.select(F.col("id"), F.col("cite").alias("ca"), F.col("v").alias("a")).join(right.select(F.col("id"), F.col("cite").alias("cb"), F.col("v").alias("b")), "id", "full")
+    full = durable(left.select(F.col("id"), F.col("cite").alias("ca"), F.col("v").alias("a")).join(right.select(F.col("id"), F.col("cite").alias("cb"), F.col("v").alias("b")), "id", "full"))
     by_id = full.filter("a is not null and b is not null").select(F.col("id").alias("id_a"), F.col("id").alias("id_b"), F.lit("id").alias("basis"), "a", "b")
     rest = full.filter("a is null or b is null").select("id", F.coalesce("ca", "cb").alias("cite"), F.col("a").isNotNull().alias("left"), "a", "b")
     # One pass over the leftovers: a citation with one row on each side makes a pair.
-    w = Window.partitionBy("cite")
     n = rest.filter("cite is not null").groupBy("cite").agg(F.count_if("left").alias("na"), F.count_if(~F.col("left")).alias("nb"))
     told = rest.join(n, "cite", "left").withColumn("pair", F.coalesce((F.col("na") == 1) & (F.col("nb") == 1), F.lit(False)))
     pairs = told.filter("pair").groupBy("cite").agg(
@@ -104,21 +125,28 @@ def match_runs(a: DataFrame, b: DataFrame, fields: list[Field] = RUN_FIELDS) ->
     return by_id.unionByName(pairs.select("id_a", "id_b", F.lit("citation").alias("basis"), "a", "b")).unionByName(alone)
 
 
+def judged(matched: DataFrame, fields: list[Field] = RUN_FIELDS) -> DataFrame:
+    """(id_a, id_b, basis, status, diffs) of all pairs and leftovers, each pair compared once.
+
+    ``status``: agreed, helper_only, authoritative, only_a or only_b; ``diffs``: the
+    differing fields with their severity, empty for leftovers.
+    """
+    found = F.array(*(F.when(~f.same(F.col(f"a.{f.slot}"), F.col(f"b.{f.slot}")), F.struct(F.lit(f.path).alias("field"), severity(F.col("a.type"), f.path).alias("severity"))) for f in fields))
+    both = F.col("a").isNotNull() & F.col("b").isNotNull()
+    held = matched.withColumn("diffs", F.when(both, F.filter(found, lambda x: x.isNotNull())).otherwise(F.filter(found, lambda x: F.lit(False))))
+    exact = F.exists("diffs", lambda x: x["severity"] == "authoritative")
+    status = F.when(F.col("b").isNull(), "only_a").when(F.col("a").isNull(), "only_b").when(F.size("diffs") == 0, "agreed").when(exact, "authoritative").otherwise("helper_only")
+    return held.select("id_a", "id_b", "basis", status.alias("status"), "diffs")
+
+
 def diff_fields(matched: DataFrame, fields: list[Field] = RUN_FIELDS) -> DataFrame:
     """(id_a, id_b, basis, field, severity): differing fields of the pairs."""
-    both = matched.filter("a is not null and b is not null")
-    found = F.array(*(F.when(~f.same(F.col(f"a.{f.slot}"), F.col(f"b.{f.slot}")), F.struct(F.lit(f.path).alias("field"), severity(F.col("a.type"), f.path).alias("severity"))) for f in fields))
-    return both.select("id_a", "id_b", "basis", F.inline(F.filter(found, lambda x: x.isNotNull())))
+    return judged(matched, fields).select("id_a", "id_b", "basis", F.inline("diffs"))
 
 
 def pair_status(matched: DataFrame, fields: list[Field] = RUN_FIELDS) -> DataFrame:
     """(id_a, id_b, basis, status): agreed, helper_only, authoritative, only_a or only_b."""
-    worst = F.lit(9)
-    for f in fields:
-        rank = F.create_map(*(F.lit(x) for kv in RANK.items() for x in kv))[severity(F.col("a.type"), f.path)]
-        worst = F.least(worst, F.when(~f.same(F.col(f"a.{f.slot}"), F.col(f"b.{f.slot}")), rank).otherwise(F.lit(9)))
-    status = F.when(F.col("b").isNull(), "only_a").when(F.col("a").isNull(), "only_b").when(worst == 9, "agreed").when(worst == 0, "authoritative").otherwise("helper_only")
-    return matched.select("id_a", "id_b", "basis", status.alias("status"))
+    return judged(matched, fields).drop("diffs")
 
 
 def compare_summary(status: DataFrame) -> DataFrame:
@@ -209,9 +237,16 @@ def merged(base: DataFrame, alt: DataFrame, applied: DataFrame, paths: list[str]
     return rows.withColumn("metadata", passed).drop("set")
 
 
-def review_queue(status: DataFrame, diffs: DataFrame) -> DataFrame:
-    """(id_a, id_b, n_diffs, fields) of the pairs that disagree, worst fields first."""
-    rank = F.create_map(*(F.lit(x) for kv in RANK.items() for x in kv))[F.col("severity")]
-    each = diffs.groupBy("id_a", "id_b").agg(F.count(F.lit(1)).alias("n_diffs"), F.array_sort(F.collect_list(F.struct(rank.alias("r"), "field"))).alias("f"))
-    open_ = status.filter("status in ('authoritative', 'helper_only')").select("id_a", "id_b", "status")
-    return open_.join(each, ["id_a", "id_b"]).select("id_a", "id_b", "status", "n_diffs", F.array_join(F.transform("f", lambda x: x["field"]), ",").alias("fields"))
+def review_queue(matched: DataFrame, fields: list[Field] = RUN_FIELDS) -> DataFrame:
+    """(id_a, id_b, status, n_diffs, fields) of the pairs that disagree, worst fields first."""
+    rank = F.create_map(*(F.lit(x) for kv in RANK.items() for x in kv))
+    ordered = F.array_sort(F.transform("diffs", lambda x: F.struct(rank[x["severity"]].alias("r"), x["field"].alias("field"))))
+    open_ = judged(matched, fields).filter("status in ('authoritative', 'helper_only')")
+    return open_.select("id_a", "id_b", "status", F.size("diffs").cast("bigint").alias("n_diffs"), F.array_join(F.transform(ordered, lambda x: x["field"]), ",").alias("fields"))
+
+
+def review_rows(queue: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
+    """The queue with both runs' rows beside each other; a pair that lacks one drops out."""
+    left = a.select(F.col("id").alias("id_a"), F.struct("type", "title", "source", "data").alias("row_a"))
+    right = b.select(F.col("id").alias("id_b"), F.struct("type", "title", "source", "data").alias("row_b"))
+    return queue.join(left, "id_a").join(right, "id_b")

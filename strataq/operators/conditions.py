@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from strataq.functions.text import SPACE
+
 # Fixed values: (pattern, parameter, operator, value, unit); a number is a group of the pattern, None is null.
 _UNITS = "(ft|m|mi/h|m/s|mph)?"
 RULES = [
@@ -34,6 +36,8 @@ def parse_conditions(text: Column, rules: list[tuple] = RULES, numeric: int = _N
     """
 
     def of(pattern: str, slots: tuple, number: bool) -> Column:
+        pattern = pattern.replace(r"\s", SPACE)  # every kind of space, the non-breaking one too
+
         def slot(m: Column, s) -> Column:
             if s is None:
                 return F.lit(None).cast("string")

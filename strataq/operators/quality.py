@@ -145,6 +145,11 @@ def gate(elements: DataFrame, by: list[str], n_broken: DataFrame, n_symbols: Dat
     return met.select(*by, F.inline(each))
 
 
+def released(checks: DataFrame, by: list[str]) -> DataFrame:
+    """(by..., check 'all', passed): whether every check passed."""
+    return checks.groupBy(*by).agg(F.lit("all").alias("check"), F.bool_and("passed").alias("passed")).select(*by, "check", "passed")
+
+
 def checkpoint(elements: DataFrame, by: list[str], chapter: str) -> DataFrame:
     """Per chapter: counts, payload and validity shares, unclassified share, links in and out."""
     refs = F.filter("cross_references", lambda r: r.isNotNull())

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strataq.sources import table
 
 
 def current(spark: SparkSession, d: str, name: str = "elements") -> DataFrame:
-    """The row of each id that was loaded last (extracted last, read last where that ties)."""
-    df = table(spark, d, name).filter("id is not null")
-    return df.groupBy("id").agg(F.max_by(F.struct(*(c for c in df.columns if c != "id")), F.struct("loaded_at", "extracted_at", "seq")).alias("v")).select("id", "v.*")
+    """The row of each id that was loaded last (extracted last, read last where that ties).
+
+    A rank rather than an aggregate of whole rows: columns a query doesn't use are not
+    read, and each task keeps one row an id before the shuffle.
+    """
+    w = Window.partitionBy("id").orderBy(*(F.desc_nulls_last(c) for c in ("loaded_at", "extracted_at", "seq")))
+    ranked = table(spark, d, name).filter("id is not null").withColumn("_rank", F.row_number().over(w))
+    return ranked.filter("_rank = 1").drop("_rank")
 
 
 CUR = "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY loaded_at DESC NULLS LAST, extracted_at DESC NULLS LAST, seq DESC) AS rn FROM {t} WHERE id IS NOT NULL) WHERE rn = 1"

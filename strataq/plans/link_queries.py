@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from strataq.functions import text as T
@@ -10,6 +12,7 @@ from strataq.operators import link as L
 from strataq.operators.conditions import RULES, parse_conditions
 from strataq.plans.corpus import CUR, WITH, blocks, current
 from strataq.plans.text_queries import DOC, MENTIONS, ORDER, mentions_of
+from strataq.sources import table
 
 Q: dict = {}
 SQL: dict[str, str] = {}
@@ -124,11 +127,11 @@ def parent_children(spark, d):
     return L.children(current(spark, d), 50, ["seq", "id"])
 
 
-@query(f"{WITH} SELECT id, max(source.chapter) AS chapter FROM elements WHERE id IS NOT NULL GROUP BY id")
+@query("SELECT id, source.chapter AS chapter FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY loaded_at DESC NULLS LAST, seq DESC NULLS LAST, source.chapter DESC NULLS LAST) AS r FROM elements WHERE id IS NOT NULL) WHERE r = 1")
 def id_chapter_map(spark, d):
-    from strataq.sources import table
-
-    return table(spark, d, "elements").filter("id is not null").groupBy("id").agg(F.max("source.chapter").alias("chapter"))
+    """The chapter that was written last counts."""
+    rows = table(spark, d, "elements").filter("id is not null").select("id", "source.chapter", "loaded_at", "seq")
+    return rows.groupBy("id").agg(F.max_by("chapter", F.struct("loaded_at", "seq", "chapter")).alias("chapter"))
 
 
 # --- conditions -----------------------------------------------------------
@@ -140,11 +143,21 @@ def _slot(p: str, s) -> str:
     return "NULL" if s is None else f"nullif(regexp_extract(m, '{p}', {s}), '')" if isinstance(s, int) else f"'{s}'"
 
 
+def _sql_pattern(p: str) -> str:
+    """The rule for the SQL engine, whose word ends and spaces are those of ASCII.
+
+    The letter before a word is taken along, so a space before a missing unit is left for the next match.
+    """
+    p = p.replace(r"\s*(ft|m|mi/h|m/s|mph|Hz|%)?", r"(?:\s*(ft|m|mi/h|m/s|mph|Hz|%))?")
+    return re.sub(r"^\\b", r"(?:^|[^\\p{L}\\p{N}_])", p).replace(r"\s", T.SPACE)
+
+
 _COND = " UNION ".join(
-    f"SELECT id, {_slot(r[0], r[1])} AS parameter, CASE WHEN {_slot(r[0], r[2])} = '=' THEN '==' ELSE {_slot(r[0], r[2])} END AS operator, "
-    f"{f'try_cast({_slot(r[0], r[3])} AS DOUBLE)' if i < 5 else 'NULL::DOUBLE'} AS value_num, {'NULL' if i < 5 else _slot(r[0], r[3])} AS value_str, {_slot(r[0], r[4])} AS unit "
-    f"FROM (SELECT id, unnest(regexp_extract_all(text, '{r[0]}', 0)) AS m FROM p)"
+    f"SELECT id, {_slot(p, r[1])} AS parameter, CASE WHEN {_slot(p, r[2])} = '=' THEN '==' ELSE {_slot(p, r[2])} END AS operator, "
+    f"{f'try_cast({_slot(p, r[3])} AS DOUBLE)' if i < 5 else 'NULL::DOUBLE'} AS value_num, {'NULL' if i < 5 else _slot(p, r[3])} AS value_str, {_slot(p, r[4])} AS unit "
+    f"FROM (SELECT id, unnest(regexp_extract_all(text, '{p}', 0)) AS m FROM p)"
     for i, r in enumerate(RULES)
+    for p in [_sql_pattern(r[0])]
 )
 
 
@@ -185,8 +198,6 @@ def drop_null_ranges(spark, d):
 
 @query("SELECT DISTINCT raw, upper(split_part(replace(raw, ' ', ''), '-', 1)) || substring(replace(raw, ' ', ''), length(split_part(replace(raw, ' ', ''), '-', 1)) + 1) AS id FROM (SELECT lower(element_id) AS raw FROM decisions WHERE element_id IS NOT NULL)")
 def normalize_ids(spark, d):
-    from strataq.sources import table
-
     raw = table(spark, d, "decisions").filter("element_id is not null").select(F.lower("element_id").alias("raw")).distinct()
     return raw.select("raw", K.normal_id(F.col("raw")).alias("id"))
 
@@ -203,12 +214,29 @@ def reclassify_definitions(spark, d):
     return K.reclassify_definitions(p.withColumn("data", F.col("data").withField("rule", rule))).select("id", "type", "data.term", "data.definition")
 
 
-@query(f"""{WITH} SELECT type, count(*) AS n, count_if(coalesce(len(list_filter(data.conditions, lambda c: c.operator IN ('≤', 'at least', 'equals', 'greater than', 'less than', 'at most', 'not equal', '≥', '≠'))) > 0, false)) AS n_operators_fixed FROM cur WHERE type <> 'provision' GROUP BY type""")
+_CAPS = r"^([A-Z][A-Z0-9 ]+[A-Z0-9])\s*:\s*(.+)"
+_CUT = lambda w: rf"^(|.*?[^\p{{L}}\p{{N}}_]){w}(|[^\p{{L}}\p{{N}}_].*)$"
+_DEFINED = f"""CASE WHEN type <> 'provision' OR trim(coalesce(data.rule, '')) = '' THEN NULL
+    WHEN regexp_matches(trim(data.rule), '{_CAPS}', 's') THEN {{'t': trim(regexp_extract(trim(data.rule), '{_CAPS}', 1, 's')), 'd': trim(regexp_extract(trim(data.rule), '{_CAPS}', 2, 's'))}}
+    """ + "\n    ".join(
+    f"WHEN regexp_matches(data.rule, '{_CUT(w)}', 'is') THEN {{'t': regexp_replace(trim(regexp_extract(data.rule, '{_CUT(w)}', 1, 'is')), '[.,;]+$', ''), 'd': trim(regexp_extract(data.rule, '{_CUT(w)}', 2, 'is'))}}"
+    for w in ("is defined as", "means")
+) + " END"
+_FILLED = lambda f, test: f"CASE WHEN x IS NOT NULL THEN NULL WHEN {test} THEN coalesce(data.{f}, '') ELSE data.{f} END AS {f}"
+
+
+@query(f"""{WITH}, q AS (SELECT *, {_DEFINED} AS x FROM cur)
+    SELECT upper(split_part(replace(id, ' ', ''), '-', 1)) || substring(replace(id, ' ', ''), length(split_part(replace(id, ' ', ''), '-', 1)) + 1) AS id, CASE WHEN x IS NOT NULL THEN 'definition' ELSE type END AS type, coalesce(title, '') AS title,
+    {_FILLED('rule', _PROV)}, {_FILLED('then_text', _PROV)}, {_FILLED('expression', "type = 'formula'")}, {_FILLED('target', "type = 'reference'")}, {_FILLED('figure_type', "type = 'figure'")}, {_FILLED('description', "type = 'figure'")},
+    CASE WHEN x IS NOT NULL THEN x.t WHEN type = 'definition' THEN coalesce(data.term, '') ELSE data.term END AS term, CASE WHEN x IS NOT NULL THEN x.d WHEN type = 'definition' THEN coalesce(data.definition, '') ELSE data.definition END AS definition,
+    array_to_string(list_transform(data.conditions, lambda c: coalesce(c.parameter, '') || ' ' || coalesce({_OPN.replace('CASE o', 'CASE c.operator').replace('trim(o)', 'trim(c.operator)').replace(', o)', ', c.operator)')}, '?')), ';') AS conditions,
+    CASE WHEN x IS NULL THEN len(list_filter(map_values(data.parameters), lambda p: p.range IS NOT NULL AND len(list_filter(p.range, lambda v: v IS NULL)) = 0))::BIGINT END AS n_ranges FROM q""")
 def post_process(spark, d):
-    before = current(spark, d).filter("type <> 'provision'")
-    after = K.post_process(before).select("id", F.col("data.conditions").alias("c2"))
-    changed = ~F.coalesce(F.transform("data.conditions", lambda c: c["operator"]).eqNullSafe(F.transform("c2", lambda c: c["operator"])), F.lit(True))
-    return before.join(after, "id").groupBy("type").agg(F.count(F.lit(1)).alias("n"), F.count_if(changed).alias("n_operators_fixed"))
+    after = K.post_process(current(spark, d))
+    said = F.transform("data.conditions", lambda c: F.concat_ws(" ", c["parameter"], F.coalesce(c["operator"], F.lit("?"))))
+    ranges = F.size(F.filter(F.map_values("data.parameters"), lambda p: p["range"].isNotNull()))
+    names = ("rule", "then_text", "expression", "target", "figure_type", "description", "term", "definition")
+    return after.select("id", "type", "title", *(f"data.{n}" for n in names), F.array_join(said, ";").alias("conditions"), F.when(F.col("data.parameters").isNotNull(), ranges).cast("bigint").alias("n_ranges"))
 
 
 @query(f"{WITH} SELECT id, coalesce(description, '') AS description, coalesce(source.citation, 'Section ' || source.section) AS citation FROM cur")

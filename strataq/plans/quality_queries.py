@@ -64,31 +64,56 @@ def match_runs(spark, d):
     return _matched(spark, d).select("id_a", "id_b", "basis")
 
 
-_T = lambda f: f"trim(x.{f}, ' ') IS DISTINCT FROM trim(y.{f}, ' ')"
+_TRIMMED = lambda p, q: f"trim({p}, ' ') IS NOT DISTINCT FROM trim({q}, ' ')"
+_EXACT = lambda p, q: f"{p} IS NOT DISTINCT FROM {q}"
 
 
-def _list_differs(f: str, same: str) -> str:
-    a, b = f"x.data.{f}", f"y.data.{f}"
-    pairs = f"list_transform(range(1, len({a}) + 1), lambda i: {{'p': {a}[i], 'q': {b}[i]}})"
-    agree = f"len({a}) = len({b}) AND len(list_filter({pairs}, lambda c: NOT ({same}))) = 0"
-    return f"NOT (({a} IS NULL AND {b} IS NULL) OR ({a} IS NOT NULL AND {b} IS NOT NULL AND coalesce({agree}, false)))"
+def _near(p: str, q: str, of: str = "greatest(abs({p}), abs({q}))") -> str:
+    of = of.format(p=p, q=q)
+    return f"(({p} IS NULL AND {q} IS NULL) OR coalesce(CASE WHEN {p} = 0 THEN abs({q}) <= 0.001 ELSE abs({p} - {q}) <= 0.001 * {of} END, false))"
+
+
+def _near_gold(p: str, q: str) -> str:
+    return _near(p, q, "abs({p})")
+
+
+def _lists(a: str, b: str, same, i: str = "i") -> str:
+    agree = f"len({a}) = len({b}) AND len(list_filter(range(1, len({a}) + 1), lambda {i}: NOT ({same(f'{a}[{i}]', f'{b}[{i}]')}))) = 0"
+    return f"(({a} IS NULL AND {b} IS NULL) OR ({a} IS NOT NULL AND {b} IS NOT NULL AND coalesce({agree}, false)))"
+
+
+def _maps(a: str, b: str, same) -> str:
+    return f"(cardinality({a}) = cardinality({b}) AND len(list_filter(map_keys({a}), lambda k: NOT (list_contains(map_keys({b}), k) AND {same(f'{a}[k]', f'{b}[k]')}))) = 0)"
+
+
+def _payload_same(text, number) -> dict[str, str]:
+    """SQL: whether rows x and y agree in each payload field."""
+    d = lambda whole, f, **kw: whole(f"x.data.{f}", f"y.data.{f}", **kw)
+    both = lambda names, same: lambda p, q: " AND ".join(same(f"{p}.{n}", f"{q}.{n}") for n in names)
+    condition = lambda p, q: both(("parameter", "operator", "value_str", "unit"), text)(p, q) + f" AND {number(f'{p}.value_num', f'{q}.value_num')}"
+    parameter = lambda p, q: f"{both(('unit', 'source'), text)(p, q)} AND {_lists(f'{p}.range', f'{q}.range', number, 'j')}"
+    a, b = "x.data.parameters", "y.data.parameters"
+    return {
+        **{f"data.{c}": d(text, c) for c in X.TEXTS},
+        "data.conditions": d(_lists, "conditions", same=condition),
+        "data.exceptions": d(_lists, "exceptions", same=text),
+        "data.columns": d(_lists, "columns", same=both(("name", "unit"), text)),
+        "data.rows": d(_lists, "rows", same=lambda p, q: _maps(p, q, text)),
+        "data.parameters": f"(({a} IS NULL AND {b} IS NULL) OR coalesce({a} IS NOT NULL AND {b} IS NOT NULL AND {_maps(a, b, parameter)}, false))",
+        "data.reference_parameters": d(_lists, "reference_parameters", same=text),
+        "data.source_pdf_page": d(number, "source_pdf_page"),
+    }
 
 
-_P = lambda f: f"trim(c.p.{f}, ' ') IS NOT DISTINCT FROM trim(c.q.{f}, ' ')"
-_NUMBER = "(c.p.value_num IS NOT DISTINCT FROM c.q.value_num OR coalesce(abs(c.p.value_num - c.q.value_num) <= 0.001 * greatest(abs(c.p.value_num), abs(c.q.value_num)), false))"
 _XREF = lambda s: f"list_sort(list_distinct(list_filter(list_transform(coalesce({s}.cross_references, []), lambda r: trim(r, ' ')), lambda r: r IS NOT NULL AND r <> '')))"
-_DIFFERS = {
-    "type": "x.type IS DISTINCT FROM y.type",
-    **{f"source.{c}": _T(f"source.{c}") for c in ("standard", "section", "citation")},
-    **{f"source.{c}": f"x.source.{c} IS DISTINCT FROM y.source.{c}" for c in ("chapter", "page")},
-    "title": "x.title IS DISTINCT FROM y.title",
-    "description": "x.description IS DISTINCT FROM y.description",
-    **{f"data.{c}": _T(f"data.{c}") for c in ("rule", "then_text", "else_text", "term", "definition", "expression", "target", "url", "figure_type", "description")},
-    "data.conditions": _list_differs("conditions", " AND ".join([_P("parameter"), _P("operator"), _NUMBER, _P("value_str"), _P("unit")])),
-    "data.exceptions": _list_differs("exceptions", "trim(c.p, ' ') IS NOT DISTINCT FROM trim(c.q, ' ')"),
-    "data.columns": _list_differs("columns", f"{_P('name')} AND {_P('unit')}"),
-    "data.rows": _list_differs("rows", "cardinality(c.p) = cardinality(c.q) AND len(list_filter(map_keys(c.p), lambda k: NOT (list_contains(map_keys(c.q), k) AND trim(c.p[k], ' ') IS NOT DISTINCT FROM trim(c.q[k], ' ')))) = 0"),
-    "cross_references": f"{_XREF('x')} IS DISTINCT FROM {_XREF('y')}",
+_SAME = {
+    "type": _EXACT("x.type", "y.type"),
+    **{f"source.{c}": _TRIMMED(f"x.source.{c}", f"y.source.{c}") for c in ("standard", "section", "citation")},
+    **{f"source.{c}": _EXACT(f"x.source.{c}", f"y.source.{c}") for c in ("chapter", "page")},
+    "title": _EXACT("x.title", "y.title"),
+    "description": _EXACT("x.description", "y.description"),
+    **_payload_same(_TRIMMED, _near),
+    "cross_references": _EXACT(_XREF("x"), _XREF("y")),
 }
 
 
@@ -102,7 +127,7 @@ def _sev(path: str) -> str:
     return f"CASE {arms}ELSE 'helper' END" if arms else "'helper'"
 
 
-_DIFF = "df AS (" + "\nUNION ALL ".join(f"SELECT id_a, id_b, basis, '{p}' AS field, {_sev(p)} AS severity FROM mt JOIN a x ON x.id = id_a JOIN b2 y ON y.id = id_b WHERE {t}" for p, t in _DIFFERS.items()) + ")"
+_DIFF = "df AS (" + "\nUNION ALL ".join(f"SELECT id_a, id_b, basis, '{p}' AS field, {_sev(p)} AS severity FROM mt JOIN a x ON x.id = id_a JOIN b2 y ON y.id = id_b WHERE NOT ({t})" for p, t in _SAME.items()) + ")"
 _STATUS = """st AS (SELECT mt.*, CASE WHEN basis LIKE 'only%' THEN basis WHEN w.sev IS NULL THEN 'agreed' WHEN w.sev = 0 THEN 'authoritative' ELSE 'helper_only' END AS status
     FROM mt LEFT JOIN (SELECT id_a, id_b, min(CASE severity WHEN 'authoritative' THEN 0 WHEN 'helper' THEN 1 ELSE 2 END) AS sev FROM df GROUP BY ALL) w ON w.id_a = mt.id_a AND w.id_b = mt.id_b)"""
 
@@ -122,8 +147,15 @@ def compare_summary(spark, d):
 @query(f"""{WITH}, {_MATCH}, {_DIFF}, {_STATUS} SELECT st.id_a, st.id_b, st.status, count(*) AS n_diffs,
     string_agg(field, ',' ORDER BY CASE severity WHEN 'authoritative' THEN 0 WHEN 'helper' THEN 1 ELSE 2 END, field) AS fields FROM st JOIN df ON df.id_a = st.id_a AND df.id_b = st.id_b GROUP BY ALL""")
 def review_queue(spark, d):
-    m = _matched(spark, d)
-    return X.review_queue(X.pair_status(m), X.diff_fields(m))
+    return X.review_queue(_matched(spark, d))
+
+
+@query(f"""{WITH}, {_MATCH}, {_DIFF} SELECT mt.id_a, mt.id_b, x.title AS title_a, y.title AS title_b, trim(coalesce(x.data.rule, ''), ' ') = trim(coalesce(y.data.rule, ''), ' ') AS same_rule
+    FROM (SELECT DISTINCT id_a, id_b FROM df) mt JOIN a x ON x.id = mt.id_a JOIN b2 y ON y.id = mt.id_b""")
+def review_rows(spark, d):
+    rows = X.review_rows(X.review_queue(_matched(spark, d)), *_runs(spark, d))
+    rule = lambda r: F.trim(F.coalesce(f"{r}.data.rule", F.lit("")))
+    return rows.select("id_a", "id_b", F.col("row_a.title").alias("title_a"), F.col("row_b.title").alias("title_b"), (rule("row_a") == rule("row_b")).alias("same_rule"))
 
 
 _PATHS = ["title", "description", "data.rule", "data.definition", "source.citation"]
@@ -156,13 +188,14 @@ def latest_decisions(spark, d):
     return X.latest_decisions(dec, ["element_id", "field_path"]).select("element_id", "field_path", "choice", "decided_at")
 
 
-_GOLD_FIELDS = [f for f in X.RUN_FIELDS if f.path in ("data.rule", "data.definition", "data.term", "data.expression", "data.target", "data.conditions")]
-_G = " + ".join(f"(x.{f.path} IS NOT NULL)::INT" for f in _GOLD_FIELDS)
-_H = " + ".join(f"(x.{f.path} IS NOT NULL AND NOT ({_DIFFERS[f.path]}))::INT" for f in _GOLD_FIELDS)
+_GOLD_SAME = _payload_same(_EXACT, _near_gold)
+_G = " + ".join(f"(x.{p} IS NOT NULL)::INT" for p in _GOLD_SAME)
+_H = " + ".join(f"(x.{p} IS NOT NULL AND ({t}))::INT" for p, t in _GOLD_SAME.items())
+_E = " + ".join(f"(y.{p} IS NOT NULL)::INT" for p in _GOLD_SAME)
 _SCORE = f"""
 g AS (SELECT * FROM cur WHERE metadata.qc_status = 'passed'), e2 AS ({CUR.format(t='elements_b')}),
 sc AS (SELECT x.id AS element_id, y.id IS NOT NULL AS id_match, y.id IS NOT NULL AND x.type IS NOT DISTINCT FROM y.type AS type_match,
-    CASE WHEN y.id IS NULL THEN 0.0::DOUBLE WHEN ({_G}) = 0 THEN 1.0 ELSE ({_H}) / ({_G}) END AS dm, y.id IS NOT NULL AND {_XREF('x')} IS NOT DISTINCT FROM {_XREF('y')} AS xref_match FROM g x LEFT JOIN e2 y ON x.id = y.id),
+    CASE WHEN y.id IS NULL THEN 0.0::DOUBLE WHEN ({_G}) = 0 THEN (({_E}) = 0)::INT::DOUBLE ELSE ({_H}) / ({_G}) END AS dm, y.id IS NOT NULL AND {_XREF('x')} IS NOT DISTINCT FROM {_XREF('y')} AS xref_match FROM g x LEFT JOIN e2 y ON x.id = y.id),
 s2 AS (SELECT element_id, id_match, type_match, round(dm, 4) AS data_match, xref_match, round(0.1 * id_match::INT::DOUBLE + 0.2 * type_match::INT::DOUBLE + 0.5 * dm + 0.2 * xref_match::INT::DOUBLE, 4) AS score FROM sc)"""
 
 
@@ -241,11 +274,13 @@ def completeness(spark, d):
 _PAGES = "pg AS (SELECT source.standard AS doc, source.chapter AS chapter, source.page AS page, string_agg(coalesce(data.rule, ''), ' ' ORDER BY seq, id) AS page_text FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY loaded_at DESC NULLS LAST, extracted_at DESC NULLS LAST, seq DESC) AS r2 FROM elements_b WHERE id IS NOT NULL) WHERE r2 = 1) GROUP BY 1, 2, 3)"
 
 
-@query(f"""{WITH}, {_PAGES}, t AS (SELECT id, source.standard AS doc, source.chapter AS chapter, source.page AS page, coalesce(nullif(data.rule, ''), nullif(data.definition, ''), nullif(data.expression, ''), '') AS text FROM cur WHERE type <> 'figure'),
-    m AS (SELECT t.doc, t.chapter, CASE WHEN contains(regexp_replace(page_text, '\\s+', ' ', 'g'), substring(trim(regexp_replace(text, '\\s+', ' ', 'g')), 1, 60)) THEN 'exact'
+_FID = f"""{_PAGES}, ft AS (SELECT id, source.standard AS doc, source.chapter AS chapter, source.page AS page, coalesce(nullif(data.rule, ''), nullif(data.definition, ''), nullif(data.expression, ''), '') AS text FROM cur WHERE type <> 'figure'),
+    fm AS (SELECT t.doc, t.chapter, CASE WHEN contains(regexp_replace(page_text, '\\s+', ' ', 'g'), substring(trim(regexp_replace(text, '\\s+', ' ', 'g')), 1, 60)) THEN 'exact'
         WHEN contains(replace(regexp_replace(page_text, '\\s+', ' ', 'g'), ' ', ''), replace(substring(trim(regexp_replace(text, '\\s+', ' ', 'g')), 1, 60), ' ', '')) THEN 'spacing' ELSE 'none' END AS match
-        FROM t LEFT JOIN pg ON pg.doc = t.doc AND pg.chapter = t.chapter AND pg.page = t.page WHERE length(text) >= 20)
-    SELECT doc, chapter, count(*) AS n_checked, count_if(match = 'exact') AS n_exact, count_if(match = 'spacing') AS n_spacing, round(count_if(match <> 'none') / greatest(count(*), 1), 4) AS score FROM m GROUP BY 1, 2""")
+        FROM ft t LEFT JOIN pg ON pg.doc = t.doc AND pg.chapter = t.chapter AND pg.page = t.page WHERE length(text) >= 20)"""
+
+
+@query(f"""{WITH}, {_FID} SELECT doc, chapter, count(*) AS n_checked, count_if(match = 'exact') AS n_exact, count_if(match = 'spacing') AS n_spacing, round(count_if(match <> 'none') / greatest(count(*), 1), 4) AS score FROM fm GROUP BY 1, 2""")
 def fidelity(spark, d):
     place = [F.col("source.standard").alias("doc"), F.col("source.chapter").alias("chapter"), F.col("source.page").alias("page")]
     b = current(spark, d, "elements_b").select(*place, F.struct("seq", "id", F.coalesce("data.rule", F.lit("")).alias("t")).alias("x"))
@@ -276,10 +311,13 @@ def structure(spark, d):
     return Y.structure(_structural(spark, d), DOC, ["seq", "id", "loaded_at"])
 
 
-@query(f"""{WITH}, {_FOUND}, {_TRUTH}, {_STRUCT},
+_BENCH = f"""{_FOUND}, {_TRUTH}, {_STRUCT}, {_FID},
     cv AS (SELECT t.doc, count(f.doc) / greatest(count(*), 1) AS c FROM truth t LEFT JOIN found f ON t.doc = f.doc AND t.kind = f.kind AND t.num = f.num GROUP BY 1),
-    fd AS (SELECT source.standard AS doc, avg((coalesce(data.rule, '') <> '')::INT) AS f FROM cur GROUP BY 1), s2 AS (SELECT doc, sum(score * n) / sum(n) AS s FROM sr GROUP BY 1)
-    SELECT doc, round(0.4 * round(c, 3) + 0.4 * round(f, 3) + 0.2 * round(s, 3), 3) AS composite FROM cv JOIN fd USING (doc) JOIN s2 USING (doc)""")
+    fd AS (SELECT doc, count_if(match <> 'none') / greatest(count(*), 1) AS f FROM fm GROUP BY 1), s2 AS (SELECT doc, sum(score * n) / sum(n) AS s FROM sr GROUP BY 1),
+    bench AS (SELECT s2.doc, c, coalesce(f, 0) AS f, s, round(0.4 * round(c, 3) + 0.4 * round(coalesce(f, 0), 3) + 0.2 * round(s, 3), 3) AS composite FROM s2 LEFT JOIN fd USING (doc) LEFT JOIN cv USING (doc))"""
+
+
+@query(f"{WITH}, {_BENCH} SELECT doc, composite FROM bench WHERE c IS NOT NULL")
 def composite(spark, d):
     """Standards with no text to check have fidelity 0."""
     return _benchmark(spark, d).filter("c is not null").select("doc", _composite().alias("composite"))
@@ -302,22 +340,25 @@ def _benchmark(spark, d):
 _SIZE = lambda c: f"coalesce(len({c}), 0)"
 
 
-@query(f"""{WITH}, {_VALID}, s AS (SELECT source.standard AS doc, count(DISTINCT k) AS n_symbols FROM (SELECT source, unnest(map_keys(data.parameters)) AS k FROM cur) GROUP BY 1),
+@query(f"""{WITH}, {_VALID}, {_BENCH}, s AS (SELECT source.standard AS doc, count(DISTINCT k) AS n_symbols FROM (SELECT source, unnest(map_keys(data.parameters)) AS k FROM cur) GROUP BY 1),
     x AS (SELECT source.standard AS doc, unnest(cross_references) AS t FROM cur), br AS (SELECT doc, count(*) AS n_broken FROM x WHERE t IS NOT NULL AND t NOT IN (SELECT id FROM cur) GROUP BY 1),
     g AS (SELECT source.standard AS doc, count_if(errors <> '') = 0 AS schema, count_if(type = 'text_block' AND contains(lower(coalesce(data.rule, '')), 'shall ')) = 0 AS no_shall_in_text_blocks,
         count_if(type = 'formula') = 0 OR count_if(type = 'formula' AND coalesce(data.expression, '') <> '') / greatest(count_if(type = 'formula'), 1) >= 0.5 AS equations,
         count_if(type = 'formula') = 0 OR count_if(type = 'formula' AND coalesce(cardinality(data.parameters), 0) > 0) / greatest(count_if(type = 'formula'), 1) >= 0.3 AS parameters,
         count_if(type = 'provision') = 0 OR count_if(type = 'provision' AND {_SIZE('data.conditions')} > 0) / greatest(count_if(type = 'provision'), 1) >= 0.15 AS conditions,
         count_if({_SIZE('cross_references')} > 0) > 0 AS cross_references, count_if(type = 'reference') > 0 AS "references", count(DISTINCT CASE WHEN type IN ('heading', 'provision', 'text_block') THEN type END) = 3 AS core_types FROM v GROUP BY 1),
-    w AS (SELECT g.*, coalesce(n_broken, 0) = 0 AS broken_references, coalesce(n_symbols, 0) > 10 AS symbols FROM g LEFT JOIN br USING (doc) LEFT JOIN s USING (doc))
-    SELECT doc, "check", passed FROM w UNPIVOT (passed FOR "check" IN (schema, no_shall_in_text_blocks, equations, parameters, conditions, cross_references, "references", core_types, broken_references, symbols))""")
+    w AS (SELECT g.*, coalesce(n_broken, 0) = 0 AS broken_references, coalesce(n_symbols, 0) > 10 AS symbols, coalesce(bench.composite >= 0.95, false) AS composite, coalesce(bench.c >= 0.85, false) AS coverage, coalesce(bench.f >= 0.95, false) AS fidelity
+        FROM g LEFT JOIN br USING (doc) LEFT JOIN s USING (doc) LEFT JOIN bench USING (doc)),
+    ev AS (SELECT * FROM w UNPIVOT (passed FOR "check" IN (schema, no_shall_in_text_blocks, equations, parameters, conditions, cross_references, "references", core_types, broken_references, symbols, composite, coverage, fidelity)))
+    SELECT doc, "check", passed FROM ev UNION ALL SELECT doc, 'all', bool_and(passed) FROM ev GROUP BY doc""")
 def deploy_gate(spark, d):
     now = current(spark, d).withColumn("doc", F.col("source.standard"))
     x = now.select("doc", F.explode("cross_references").alias("t")).filter("t is not null")
     broken = x.join(now.select(F.col("id").alias("t")), "t", "left_anti").groupBy("doc").agg(_n().alias("n_broken"))
     symbols = now.select("doc", F.explode(F.map_keys("data.parameters")).alias("k")).groupBy("doc").agg(F.count_distinct("k").alias("n_symbols"))
     scores = _benchmark(spark, d).select("doc", _composite().alias("composite"), F.col("c").alias("coverage"), F.col("f").alias("fidelity"))
-    return Y.gate(now, ["doc"], broken, symbols, scores)
+    checks = Y.gate(now, ["doc"], broken, symbols, scores)
+    return checks.unionByName(Y.released(checks, ["doc"]))
 
 
 _FULL = "CASE " + " ".join(f"WHEN type = '{k}' THEN " + " AND ".join(f"coalesce(len(data.{c}), 0) > 0" if c in ("columns", "rows") else f"trim(coalesce(data.{c}, ''), ' ') <> ''" for c in cs) for k, cs in Y.PAYLOAD.items()) + " ELSE data IS NOT NULL END"
@@ -351,7 +392,7 @@ def quality_report(spark, d):
     )
 
 
-@query(f"{WITH} SELECT type, id FROM (SELECT *, row_number() OVER (PARTITION BY type ORDER BY (metadata.qc_status IS DISTINCT FROM 'passed')::INT, seq, id) AS k FROM cur) WHERE k <= 3")
+@query(f"{WITH}, {_VALID} SELECT type, id FROM (SELECT *, row_number() OVER (PARTITION BY type ORDER BY (metadata.qc_status IS DISTINCT FROM 'passed')::INT, seq, id) AS k FROM v WHERE errors = '') WHERE k <= 3")
 def gold_topk(spark, d):
     return O.draft_gold(current(spark, d)).select("type", "id")
 
@@ -372,7 +413,8 @@ def symbols_registry(spark, d):
     return R.with_aliases(R.keep_longest(found, ["doc", "symbol"], "description", ["seq", "id"]), ["doc"])
 
 
-_VARS = " UNION ".join(f"SELECT id, doc, unnest(regexp_extract_all(expression, '{p}', 1)) AS symbol FROM f" for p in (r"\b([A-Za-z][A-Za-z0-9_]*)\b", r"([A-Za-z]+(?:_[a-zA-Z0-9]+)?)", R.GREEK, r"\b([A-Z][a-z][A-Z]?|[A-Z]{2,3}[0-9]?)\b"))
+_VARS = f"""SELECT id, doc, w AS symbol FROM (SELECT id, doc, unnest(regexp_extract_all(expression, '[\\p{{L}}\\p{{N}}_]+', 0)) AS w FROM f) WHERE regexp_full_match(w, '[A-Za-z][A-Za-z0-9_]*')
+    UNION SELECT id, doc, unnest(regexp_extract_all(expression, '[A-Za-z]+(?:_[A-Za-z0-9]+)?', 0)) FROM f UNION SELECT id, doc, unnest(regexp_extract_all(expression, '[{R.GREEK}]', 0)) FROM f"""
 _FORM = "f AS (SELECT id, source.standard AS doc, data.expression AS expression FROM cur WHERE type = 'formula' AND data.expression IS NOT NULL)"
 
 

@@ -9,10 +9,10 @@ _MODULES = (problems, text_queries, link_queries, quality_queries)
 #: Columns whose type the SQL engine makes wider or narrower than a count or a row number is here.
 _TYPES = {
     "BIGINT": {
-        "reclassification_audit": "before after moved",
+        "reclassification_audit": "n_were_text_blocks n_moved",
+        "post_process": "n_ranges",
         "section_inversions": "n_inversions",
         "xref_resolution": "resolved dangling",
-        "post_process": "n_operators_fixed",
         "compare_summary": "by_id by_citation agreed helper_only authoritative only_a only_b",
         "calibration_report": "n_compared n_missing",
         "validate_chapter": "passed failed",

@@ -132,12 +132,14 @@ def classify_by_place(spark, d):
     return blocks(spark, d).groupBy("given", kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"""{WITH} SELECT count_if(given = 'text_block') AS before, count_if(given = 'text_block' AND NOT {_phrase(C.REGULATORY)}) AS after,
-    count_if(given = 'text_block' AND {_phrase(C.REGULATORY)}) AS moved FROM b""")
+@query(f"""{WITH}, {PATTERNS}, {KIND}, x AS (SELECT b.given, coalesce(k.kind, 'skipped') AS kind FROM b LEFT JOIN k USING (id))
+    SELECT kind, count(*) AS n, count_if(given = 'text_block') AS n_were_text_blocks, count_if(given <> kind) AS n_moved FROM x GROUP BY kind""")
 def reclassification_audit(spark, d):
-    b, shall = blocks(spark, d), C.has_phrase(F.col("text"))
-    tb = F.col("given") == "text_block"
-    return b.agg(F.count_if(tb).alias("before"), F.count_if(tb & ~shall).alias("after"), F.count_if(tb & shall).alias("moved"))
+    """What a second classification makes of the elements, and of the text blocks among them."""
+    again = _classified(spark, d).select("id", "kind")
+    met = blocks(spark, d).select("id", "given").join(again, "id", "left").withColumn("kind", F.coalesce("kind", F.lit("skipped")))
+    n = F.count(F.lit(1))
+    return met.groupBy("kind").agg(n.alias("n"), F.count_if(F.col("given") == "text_block").alias("n_were_text_blocks"), F.count_if(F.col("given") != F.col("kind")).alias("n_moved"))
 
 
 # --- text -----------------------------------------------------------------
@@ -160,15 +162,20 @@ def text_fix(spark, d):
 
 def _sql_repair() -> str:
     c = _sql_replaced("x", T.LIGATURES)
-    for left, right, word in T.BROKEN_WORDS:
-        c = f"regexp_replace({c}, '{left}\\s+{right}', '{word}', 'g')"
+    for gap, word in T.gaps():
+        c = f"regexp_replace({c}, '{gap}', '{word}', 'g')"
     return f"regexp_replace(regexp_replace({c}, {_JOIN}), '  +', ' ', 'g')"
 
 
-@query(f"{WITH} SELECT id, {_sql_repair().replace('(x,', '(data.rule,')} AS repaired FROM cur WHERE data.rule IS NOT NULL AND data.rule <> {_sql_repair().replace('(x,', '(data.rule,')}")
+_WORDED = ("title", "description", "data.rule", "data.definition", "data.term", "data.target", "data.description")
+_EACH = " UNION ALL ".join(f"SELECT id, '{c}' AS field, {c} AS x FROM cur WHERE {c} IS NOT NULL" for c in _WORDED)
+
+
+@query(f"{WITH}, w AS ({_EACH}) SELECT id, field, {_sql_repair()} AS repaired FROM w WHERE x <> {_sql_repair()}")
 def word_repairs(spark, d):
-    fixed = current(spark, d).filter("data.rule is not null").select("id", "data.rule", T.repair_words(F.col("data.rule")).alias("repaired"))
-    return fixed.filter("rule <> repaired").select("id", "repaired")
+    each = F.array(*(F.struct(F.lit(c).alias("field"), F.col(c).alias("x")) for c in _WORDED))
+    fixed = current(spark, d).select("id", F.inline(each)).withColumn("repaired", T.repair_words(F.col("x")))
+    return fixed.filter("x <> repaired").select("id", "field", "repaired")
 
 
 @query(f"{WITH} SELECT id, coalesce(nullif(data.rule, ''), nullif(data.expression, ''), nullif(data.definition, ''), nullif(data.target, ''), '') AS text FROM cur")

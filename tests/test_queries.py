@@ -9,7 +9,7 @@ import pytest
 
 from strataq.plans import registry
 
-FOLDER = "/root/testdata/sf0.001"
+FOLDER = os.environ.get("STRATAQ_TEST_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data here")
 
 
