@@ -131,6 +131,20 @@ def classify_fixed(label: Column, bold: Column, text: Column) -> Column:
     )
 
 
+def classify_simple(label: Column, text: Column) -> Column:
+    """Headings by their label, definitions, provisions; all else is a text block."""
+    return F.when(label.isin("section_header", "title"), F.lit("heading")).when(is_definition(text), "definition").when(has_phrase(text, REGULATORY_SHORT), "provision").otherwise("text_block")
+
+
+def classify_line(text: Column, bold: Column, size: Column, chapter: Column) -> Column:
+    """A printed line by its font: heading, definition or text."""
+    caps = (text == F.upper(text)) & text.rlike("[A-Za-z]")
+    colon = F.contains(text, F.lit(":"))
+    heads = ((size > 11) & bold) | (bold & caps & ~colon & (F.length(text) < 80))
+    numbered = F.startswith(text, F.concat(chapter.cast("string"), F.lit("."))) | F.startswith(text, F.lit("CHAPTER"))
+    return F.when(heads, F.lit("heading")).when(bold & colon & caps, "definition").when(numbered, "heading").when(bold & colon, "definition").otherwise("text")
+
+
 def classify_by_font(label: Column, text: Column, bold: Column, size: Column) -> Column:
     """With font size and short equations in place of learned patterns."""
     equation = (F.length(text) < 120) & text.rlike(r"=") & ~has_phrase(text, REGULATORY_SHORT)

@@ -18,4 +18,4 @@ def draft_gold(elements: DataFrame, most: int = 3, order: list[str] | None = Non
 
 def spot_sample(elements: DataFrame, n: int = 30, key: str = "id") -> DataFrame:
     """A sample of ``n`` rows that is the same in every run."""
-    return elements.orderBy(F.xxhash64(key), key).limit(n)
+    return elements.orderBy(F.md5(F.col(key).cast("string")), key).limit(n)

@@ -150,6 +150,16 @@ def released(checks: DataFrame, by: list[str]) -> DataFrame:
     return checks.groupBy(*by).agg(F.lit("all").alias("check"), F.bool_and("passed").alias("passed")).select(*by, "check", "passed")
 
 
+def row_class(passed: Column, fidelity_: Column, unclassified: Column) -> Column:
+    """How a report marks a row: pass, partial or fail."""
+    return F.when(passed, "pass").when((fidelity_ >= 0.7) & (unclassified < 0.5), "partial").otherwise("fail")
+
+
+def bar(share: Column, high: float = 0.8, middle: float = 0.5) -> Column:
+    """How a report marks a share: good, fair or poor."""
+    return F.when(share >= high, "good").when(share >= middle, "fair").otherwise("poor")
+
+
 def checkpoint(elements: DataFrame, by: list[str], chapter: str) -> DataFrame:
     """Per chapter: counts, payload and validity shares, unclassified share, links in and out."""
     refs = F.filter("cross_references", lambda r: r.isNotNull())

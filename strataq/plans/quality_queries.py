@@ -397,11 +397,6 @@ def gold_topk(spark, d):
     return O.draft_gold(current(spark, d)).select("type", "id")
 
 
-@query()  # ordered by a hash the SQL engine lacks
-def spot_sample(spark, d):
-    return O.spot_sample(current(spark, d)).select("id", "type")
-
-
 # --- registries --------------------------------------------------------------
 
 
@@ -566,27 +561,12 @@ def _chars(spark, d):
     return _boxes(spark, d).select("page", "box", F.col("l").cast("double").alias("x0"), (F.col("l") + 8).cast("double").alias("x1"), (F.col("t") + F.col("box") % 3).cast("double").alias("top"), (F.col("box") % 10).cast("string").alias("text"), (F.col("box") % 4 != 0).alias("bold"), F.lit(600).alias("width"))
 
 
-@query()  # the anchor is the line's first character: tested against brute force
-def anchored_lines(spark, d):
-    return S.anchored_lines(_chars(spark, d), ["page"]).groupBy("page", "line").agg(_n().alias("n"), F.min("top").alias("top"))
-
-
 @query(f"WITH bx AS ({_BOX}), c AS (SELECT page, t, box, l AS x0, l + 8 AS x1, (box % 10)::VARCHAR AS x FROM bx), g AS (SELECT *, CASE WHEN x0 - lag(x1) OVER (PARTITION BY page, t ORDER BY x0, box) > 1.5 THEN ' ' ELSE '' END || x AS y FROM c) SELECT page, t, string_agg(y, '' ORDER BY x0, box) AS line FROM g GROUP BY 1, 2")
 def spaced_lines(spark, d):
     c = _boxes(spark, d).selectExpr("page", "t", "box", "l as x0", "l + 8 as x1", "cast(box % 10 as string) as text")
     return S.spaced_text(c, ["page", "t"], ["x0", "box"])
 
 
-@query()  # tested against brute force
-def column_gap(spark, d):
-    return S.column_gap(_chars(spark, d), ["page"])
-
-
-@query()  # tested against brute force
-def bold_runs(spark, d):
-    return S.bold_runs(_chars(spark, d), ["page"], ["top", "x0", "box"])
-
-
 @query("SELECT floor(l_quantity / 10)::BIGINT AS bin, l_linestatus AS kind, count(*) AS n FROM lineitem GROUP BY 1, 2")
 def size_histogram(spark, d):
     return table(spark, d, "lineitem").groupBy(F.floor(F.col("l_quantity") / 10).alias("bin"), F.col("l_linestatus").alias("kind")).agg(_n().alias("n"))

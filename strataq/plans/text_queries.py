@@ -214,13 +214,6 @@ def external_catalog(spark, d):
     return each.groupBy("family").agg(F.sum("n").alias("n_refs"), F.array_join(F.array_sort(F.collect_list("at")), ",").alias("cited_in"))
 
 
-@query()  # look-back from a match's place: tested against brute force
-def equation_rows(spark, d):
-    return blocks(spark, d).select("doc", "chapter", "seq", "id", F.inline(T.equations(F.col("text")))).withColumnRenamed("chapter", "of_chapter").toDF(
-        "doc", "of_chapter", "seq", "id", "num", "chapter", "expression"
-    )
-
-
 _NUM = r"\((\d+\.\d+-\d+[a-z]?(?:\.SI)?)\)"
 
 
@@ -337,16 +330,4 @@ def chapter_ranges(spark, d):
     return S.chapter_ranges(starts, ends, ["doc"])
 
 
-@query()  # look-around, which the SQL engine lacks
-def split_multi_section(spark, d):
-    docs = table(spark, d, "documents").filter("text is not null")
-    return docs.select("doc_id", F.posexplode(S.split_sections(F.col("text"))).alias("part", "body"))
-
-
-@query()
-def embedded_definitions(spark, d):
-    b = blocks(spark, d).groupBy("doc", "chapter", "section").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "id", "text"))), lambda x: x["text"]), " ").alias("text"))
-    return b.select("doc", "chapter", "section", F.inline(S.embedded_definitions(F.col("text"))))
-
-
 QUERIES = Q
