@@ -24,6 +24,9 @@ SPACE = r"[\s\p{Z}]"
 NUMBER = r"\d+\.\d+-\d+"
 SECTION = r"\d+\.\d+(?:\.\d+)*"
 
+# A lone "fi" joins the word after it; between words it goes where the rest of a broken word follows.
+ORPHANS = [(r"(^|[^\p{L}\p{N}_])fi\s+([a-z])", "$1fi$2"), (r"\s+fi\s+(procedures|ned|gure|eld|lter|nish|nal|rst|re|ll|nd|le|x)", "$1")]
+
 # How references to items are written.
 MENTIONS = {
     "table": r"Table\s+(\d+\.\d+-\d+)",
@@ -64,6 +67,8 @@ def repair_words(c: Column) -> Column:
     c = _replaced(c, LIGATURES)
     for gap, word in gaps():
         c = F.regexp_replace(c, gap, word)
+    for before, after in ORPHANS:
+        c = F.regexp_replace(c, before, after)
     return F.regexp_replace(F.regexp_replace(c, r"([\p{L}\p{N}_])- ([\p{L}\p{N}_])", "$1$2"), "  +", " ")
 
 
@@ -151,6 +156,18 @@ def number_cell(c: Column) -> Column:
     return F.when(F.trim(c).rlike(r"^[+-]?\d+(?:\.\d*)?$"), F.trim(c).cast("double"))
 
 
+def cell_value(c: Column) -> Column:
+    """struct<number, integer, text>: a cell with a point as a number, another of digits as an integer, all else as text."""
+    number = F.when(F.contains(c, F.lit(".")), number_cell(c))
+    integer = F.when(F.trim(c).rlike(r"^[+-]?\d+$"), F.trim(c).try_cast("bigint"))
+    return F.struct(number.alias("number"), integer.alias("integer"), F.when(number.isNull() & integer.isNull(), c).alias("text"))
+
+
+def utc_now() -> Column:
+    """The time of the query in ISO form, in UTC where the session's zone is."""
+    return F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
+
+
 def html_escape(c: Column) -> Column:
     return _replaced(c, {"&": "&amp;", "<": "&lt;", ">": "&gt;", '"': "&quot;"})
 

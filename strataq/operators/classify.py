@@ -13,11 +13,22 @@ REGULATORY_SHORT = REGULATORY[:5]
 REGULATORY_MEDIUM = REGULATORY[:7]
 NOTE_WORDS = ("User Note", "Commentary", "Note:", "USER NOTE", "COMMENTARY")
 REFERENCE_FAMILIES = ("ASTM", "ANSI", "CAN/CSA", "ICC", "ACI", "AISC", "AWS", "IBC", "FEMA", "TMS", "APA")
+PAGE_MARKS = r"^\d{1,4}$|^Downloaded from|^Page \d+|^- \d+ -$"
 FURNITURE = ("page_header", "page_footer")
 KINDS = ("skip", "section", "note", "exception", "reference", "definition", "sub_definition", "topic")
 DEFINITION = r"(?s)^([A-Z][A-Z0-9 ,./()]+?)\s*:\s*(.+)"
 
 
+def is_furniture(text: Column) -> Column:
+    """Page numbers, download notes and page marks."""
+    return text.rlike(PAGE_MARKS)
+
+
+def definition_parts(text: Column) -> Column:
+    """struct<term, body> of a definition written with a colon, else null."""
+    return F.when(is_definition(text), F.struct(F.trim(F.regexp_extract(text, DEFINITION, 1)).alias("term"), F.trim(F.regexp_extract(text, DEFINITION, 2)).alias("body")))
+
+
 def learn_patterns(blocks: DataFrame, doc: list[str], bold: str = "bold", text: str = "text", families: tuple[str, ...] = REFERENCE_FAMILIES, footers: tuple[str, ...] = ()) -> DataFrame:
     """(doc..., kind, marker): what the bold labels of each document tell, first match first.
 

@@ -13,17 +13,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def nearest(left: DataFrame, right: DataFrame, page: list[str], at: str, left_id: str, right_order: list[str], within: float, carry: list[str]) -> DataFrame:
+def nearest(
+    left: DataFrame, right: DataFrame, page: list[str], at: str, left_id: str, right_order: list[str], within: float, carry: list[str], ahead_first: bool = False, default: dict | None = None
+) -> DataFrame:
     """Adds ``carry`` of the row of ``right`` nearest in ``at`` on the same page.
 
-    Closer than ``within`` only; of equally near ones the first in ``right_order``.
+    Closer than ``within`` only; of equally near ones the one ahead if ``ahead_first``,
+    then the first in ``right_order``.  Where none is near, the ``default`` of a column.
     """
     b = lambda c: F.floor(F.col(c) / within)
     near = left.select(*page, left_id, F.col(at).alias("_at"), F.explode(F.array(b(at) - 1, b(at), b(at) + 1)).alias("_b"))
     cand = near.join(right.select(*page, F.col(at).alias("_r"), b(at).alias("_b"), *right_order, *(c for c in carry if c not in right_order)), [*page, "_b"])
     gap = F.abs(F.col("_at") - F.col("_r"))
-    best = cand.filter(gap < within).groupBy(*page, left_id).agg(F.min_by(F.struct(*carry), F.struct(gap, *right_order)).alias("_v"))
-    return left.join(best, [*page, left_id], "left").select(*left.columns, *(F.col(f"_v.{c}").alias(c) for c in carry))
+    best = cand.filter(gap < within).groupBy(*page, left_id).agg(F.min_by(F.struct(*carry), F.struct(gap, (F.col("_r") < F.col("_at")) & F.lit(ahead_first), *right_order)).alias("_v"))
+    held = lambda c: F.coalesce(F.col(f"_v.{c}"), F.lit(default[c])) if c in (default or {}) else F.col(f"_v.{c}")
+    return left.join(best, [*page, left_id], "left").select(*left.columns, *(held(c).alias(c) for c in carry))
 
 
 def contained(points: DataFrame, boxes: DataFrame, page: list[str], x: str, y: str, margin: float, cell: float = 100.0) -> DataFrame:
@@ -55,17 +59,18 @@ def iou(a: str, b: str) -> Column:
     return both / F.nullif(area(a) + area(b) - both, F.lit(0))
 
 
-def most_overlapping(regions: DataFrame, known: DataFrame, page: list[str], least: float = 0.2, cell: float = 100.0) -> DataFrame:
-    """(page..., region_id, known_id): the known region that covers most of each region.
+def most_overlapping(regions: DataFrame, known: DataFrame, page: list[str], least: float = 0.2, cell: float = 100.0, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(page..., region_id, known_id, carry...): the known region that covers most of each region, and what it is told by.
 
     More than ``least`` of the region's area; the first known one where areas tie.
     """
     spans = lambda p: F.sequence(F.floor(F.col(f"{p}l") / cell), F.floor(F.col(f"{p}r") / cell))
     a = regions.select(*page, "region_id", *(F.col(c).alias(f"a_{c}") for c in "ltrb")).withColumn("_g", F.explode(spans("a_")))
-    b = known.select(*page, "known_id", *(F.col(c).alias(f"b_{c}") for c in "ltrb")).withColumn("_g", F.explode(spans("b_")))
+    b = known.select(*page, "known_id", *carry, *(F.col(c).alias(f"b_{c}") for c in "ltrb")).withColumn("_g", F.explode(spans("b_")))
     met = a.join(b, [*page, "_g"]).drop("_g").distinct().withColumn("_o", overlap("a_", "b_"))
     enough = met.filter(F.col("_o") > least * area("a_"))
-    return enough.groupBy(*page, "region_id").agg(F.min_by("known_id", F.struct(-F.col("_o"), F.col("known_id"))).alias("known_id"))
+    best = F.min_by(F.struct("known_id", *carry), F.struct(-F.col("_o"), F.col("known_id")))
+    return enough.groupBy(*page, "region_id").agg(best.alias("_v")).select(*page, "region_id", "_v.*")
 
 
 def greedy_matches(gold: DataFrame, predicted: DataFrame, page: str, threshold: float = 0.3) -> DataFrame:
@@ -145,3 +150,16 @@ def normalized_box(width: Column, height: Column) -> list[Column]:
 def flipped(y: Column, height: Column) -> Column:
     """A distance from the foot of the page as one from its head."""
     return height - y
+
+
+def scaled(x: Column, dpi: int, points: int = 72) -> Column:
+    """A length in points as one in pixels."""
+    return x * F.lit(dpi / points)
+
+
+def block_boxes(chars: DataFrame, block: list[str]) -> DataFrame:
+    """(block..., n, x0, top, x1, bottom, size, any_bold, all_bold): what the characters of each block span."""
+    return chars.groupBy(*block).agg(
+        F.count(F.lit(1)).alias("n"), F.min("x0").alias("x0"), F.min("top").alias("top"), F.max("x1").alias("x1"), F.max("bottom").alias("bottom"),
+        F.avg("size").alias("size"), F.bool_or("bold").alias("any_bold"), F.bool_and("bold").alias("all_bold"),
+    )

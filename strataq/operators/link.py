@@ -8,16 +8,16 @@ from pyspark.sql import functions as F
 from strataq.functions.text import section_prefixes
 
 
-def citation_index(elements: DataFrame, scope: list[str], order: list[str], compat: bool = False) -> DataFrame:
+def citation_index(elements: DataFrame, scope: list[str], order: list[str], compat: bool = False, first: bool = False) -> DataFrame:
     """(scope..., kind, num, target): what each citation number names.
 
-    The last element with a number wins.  ``compat`` puts tables, figures and
+    The last element with a number wins, or the first.  ``compat`` puts tables, figures and
     equations in one namespace.  ``elements``: scope..., order..., id, type, citation.
     """
     num = F.nullif(F.regexp_extract("citation", r"(\d+\.\d+-\d+[A-Da-d]?)", 1), F.lit(""))
     kind = F.lit("any") if compat else F.when(F.col("type") == "formula", F.lit("equation")).otherwise(F.col("type"))
     numbered = elements.filter(F.col("type").isin("table", "figure", "formula")).withColumn("num", num).filter("num is not null")
-    return numbered.groupBy(*scope, kind.alias("kind"), "num").agg(F.max_by("id", F.struct(*order)).alias("target"))
+    return numbered.groupBy(*scope, kind.alias("kind"), "num").agg((F.min_by if first else F.max_by)("id", F.struct(*order)).alias("target"))
 
 
 def section_index(elements: DataFrame, scope: list[str], order: list[str]) -> DataFrame:
@@ -81,6 +81,19 @@ def look_back_until(doc: list[str], order: list[str], candidate: Column, barrier
 WHERE_REACH, LIST_REACH = 9, 14
 
 
+def numbers_inside(citation: Column) -> Column:
+    """All texts of the form ``n.n-n`` that a citation contains, parts of longer numbers among them."""
+    whole = F.regexp_extract_all(citation, F.lit(r"\d+\.\d+-\d+"), F.lit(0))
+
+    def parts(m: Column) -> Column:
+        head, tail = F.substring_index(m, ".", 1), F.substring_index(m, "-", -1)
+        middle = F.substring(m, F.length(head) + 1, F.length(m) - F.length(head) - F.length(tail))
+        ends = F.transform(F.sequence(F.lit(1), F.length(tail)), lambda n: F.concat(middle, F.substring(tail, F.lit(1), n)))
+        return F.flatten(F.transform(F.sequence(F.lit(1), F.length(head)), lambda n: F.transform(ends, lambda e: F.concat(F.substring(head, n, F.length(head)), e))))
+
+    return F.array_distinct(F.flatten(F.transform(whole, parts)))
+
+
 def associate(blocks: DataFrame, doc: list[str], order: list[str], kind: str = "kind", text: str = "text", section: str = "section", citation: str = "citation") -> DataFrame:
     """(id, parent, rule) of the text blocks: the element each belongs to, and why.
 
@@ -95,10 +108,9 @@ def associate(blocks: DataFrame, doc: list[str], order: list[str], kind: str = "
     seen = seen.withColumn("_list", look_back(doc, order, k.isin("provision", "heading"), F.col("id"), LIST_REACH))
     seen = seen.withColumn("_last", look_back(doc, order, k == "heading", F.col("id")))
     texts = seen.filter(k == "text_block").withColumn("_fig", F.nullif(F.regexp_extract(t, r"^Figure\s+(\d+\.\d+-\d+)", 1), F.lit("")))
-    # The numbers asked for and the figures of a document are few: joined by document, then by content.
-    asked = texts.filter("_fig is not null").select(*doc, "_fig").distinct()
-    figures = blocks.filter(k == "figure").select(*doc, F.col(citation).alias("_c"), F.struct(*order, F.col("id").alias("_id")).alias("_f"))
-    named = asked.join(figures, doc).filter(F.contains("_c", F.col("_fig"))).groupBy(*doc, "_fig").agg(F.min("_f")["_id"].alias("_figure"))
+    # A citation contains a number if it is one of the numbers inside it, so figures are joined by key.
+    figures = blocks.filter(k == "figure").select(*doc, F.explode(numbers_inside(F.col(citation))).alias("_fig"), F.struct(*order, F.col("id").alias("_id")).alias("_f"))
+    named = figures.groupBy(*doc, "_fig").agg(F.min("_f")["_id"].alias("_figure"))
     joined = ancestor_heading(texts.join(named, [*doc, "_fig"], "left"), blocks.filter(k == "heading"), doc, order, section)
     choices = [
         ("where", F.lower(F.substring(t, 1, 5)) == "where", "_where"),

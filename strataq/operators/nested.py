@@ -101,6 +101,11 @@ def walk(records: DataFrame, key: str = "record_id", payload: str = "payload") -
     return _near(base.filter(~deep)).unionByName(far).withColumnRenamed("k", key)
 
 
+def readable(records: DataFrame, payload: str = "payload", to: str = "readable") -> DataFrame:
+    """Adds whether the payload is one JSON value (within the depth of the parser in the JVM)."""
+    return records.withColumn(to, F.coalesce(F.expr(f"size({_boxed(f'cast({payload} as string)')}) = 2"), F.lit(False)))
+
+
 def _near(base: DataFrame) -> DataFrame:
     base = base.withColumn("box", F.expr(_boxed("p"))).withColumn("box", F.expr("if(size(box) = 2, box, null)"))
 

@@ -46,6 +46,13 @@ def validate(elements: DataFrame) -> DataFrame:
     return elements.withColumn("errors", F.filter(broken, lambda x: x.isNotNull()))
 
 
+def light(elements: DataFrame) -> DataFrame:
+    """Adds ``ok``: whether the fields that every element must have are there; payloads aren't looked at."""
+    kept = rules()
+    filled = F.col("data").isNotNull() & F.col("metadata.extracted_by").isNotNull() & F.col("metadata.qc_status").isNotNull()
+    return elements.withColumn("ok", kept["id"] & kept["type"] & kept["source"] & kept["title"] & filled)
+
+
 def validity(validated: DataFrame, by: list[str]) -> DataFrame:
     return validated.groupBy(*by).agg(F.count(F.lit(1)).alias("total"), F.count_if(F.size("errors") == 0).alias("passed"), F.count_if(F.size("errors") > 0).alias("failed"))
 
@@ -83,6 +90,21 @@ def coverage(truth: DataFrame, found: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
+def coverage_lists(truth: DataFrame, found: DataFrame, by: list[str]) -> DataFrame:
+    """(by..., kind, missing, extra): the numbers on one side only, in order; lists as long as a document has numbers."""
+    keys = [*by, "kind", "num"]
+    t = truth.select(*keys).distinct().withColumn("_t", F.lit(True))
+    e = found.select(*keys).distinct().withColumn("_e", F.lit(True))
+    met = t.join(e, keys, "full").filter("_t is null or _e is null")
+    only = lambda c: F.array_sort(F.collect_list(F.when(F.col(c), F.col("num"))))
+    return met.groupBy(*by, "kind").agg(only("_t").alias("missing"), only("_e").alias("extra"))
+
+
+def overall(coverage_: DataFrame, by: list[str]) -> DataFrame:
+    """(by..., score): what of all numbers in the texts was found."""
+    return coverage_.groupBy(*by).agg(F.round(F.sum("n_both") / F.greatest(F.sum("n_truth"), F.lit(1)), 4).alias("score"))
+
+
 def fidelity(elements: DataFrame, pages: DataFrame, by: list[str], snippet: int = 60, least: int = 20) -> DataFrame:
     """(id, match): exact, spacing or none: whether a text's start stands on its page.
 

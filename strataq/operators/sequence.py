@@ -103,15 +103,28 @@ def inversions(df: DataFrame, doc: list[str], order: list[str], section: str = "
     return numbered.withColumn("_back", F.col("_key") < back).groupBy(*doc).agg(F.count(F.lit(1)).alias("n_sections"), F.count_if("_back").alias("n_inversions"))
 
 
+# How a chapter begins on its first page.
+CHAPTER = r"CHAPTER\s+(\d+)\s*\n\s*([A-Z][A-Z :,\-]+)"
+
+
+def chapter_starts(pages: DataFrame, text: str = "text", head: int = 500) -> DataFrame:
+    """The pages that begin a chapter, with its number and title, told from the first characters of each page."""
+    top = F.substring(F.col(text), 1, head)
+    found = pages.withColumn("chapter", F.regexp_extract(top, CHAPTER, 1).try_cast("int")).withColumn("title", F.trim(F.regexp_replace(F.regexp_extract(top, CHAPTER, 2), r"\s+$", "")))
+    return found.filter("chapter is not null")
+
+
 def chapter_ranges(starts: DataFrame, ends: DataFrame, doc: list[str], page: str = "page", cap: int = 50, last_page: str | None = None) -> DataFrame:
     """Each chapter's pages: up to the next chapter or boundary, ``cap`` pages at most.
 
-    ``starts``: doc..., page, ...; ``ends``: doc..., page of other boundaries.
+    ``starts``: doc..., page, ...; ``ends``: doc..., page of other boundaries;
+    ``last_page``: a column of ``starts`` with the last page of the document.
     """
     both = starts.withColumn("_start", F.lit(True)).unionByName(ends.withColumn("_start", F.lit(False)), allowMissingColumns=True)
     w = Window.partitionBy(*doc).orderBy(page).rangeBetween(1, Window.unboundedFollowing)
     nxt = F.min(page).over(w)
-    end = F.least(F.coalesce(nxt - 1, F.col(page) + cap - 1), F.col(page) + cap - 1)
+    ends_at = [nxt - 1, F.col(page) + cap - 1, *([F.col(last_page)] if last_page else [])]
+    end = F.least(*ends_at)  # what is null doesn't bound
     return both.withColumn("end_page", end).filter("_start").drop("_start")
 
 

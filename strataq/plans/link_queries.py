@@ -38,8 +38,8 @@ _KINDSQL = "CASE WHEN type = 'formula' THEN 'equation' ELSE type END"
 _INDEX = f"""
 near AS (SELECT doc, chapter, {_KINDSQL} AS kind, {_NUM} AS num, arg_max(id, o) AS target FROM c WHERE type IN ('table', 'figure', 'formula') AND {_NUM} IS NOT NULL GROUP BY 1, 2, 3, 4
     UNION ALL SELECT doc, chapter, 'section', section, arg_min(id, o) FROM c WHERE section IS NOT NULL GROUP BY 1, 2, 3, 4),
-far AS (SELECT doc, {_KINDSQL} AS kind, {_NUM} AS num, arg_max(id, o) AS target FROM c WHERE type IN ('table', 'figure', 'formula') AND {_NUM} IS NOT NULL GROUP BY 1, 2, 3
-    UNION ALL SELECT doc, 'section', section, arg_min(id, o) FROM c WHERE section IS NOT NULL GROUP BY 1, 2, 3),
+far AS (SELECT doc, {_KINDSQL} AS kind, {_NUM} AS num, arg_min(id, lpad(chapter::VARCHAR, 6, '0') || o) AS target FROM c WHERE type IN ('table', 'figure', 'formula') AND {_NUM} IS NOT NULL GROUP BY 1, 2, 3
+    UNION ALL SELECT doc, 'section', section, arg_min(id, lpad(chapter::VARCHAR, 6, '0') || o) FROM c WHERE section IS NOT NULL GROUP BY 1, 2, 3),
 r AS (SELECT m.doc, m.chapter, m.id, m.kind, m.num, nullif(coalesce(near.target, far.target), m.id) AS target FROM m
     LEFT JOIN near ON m.doc = near.doc AND m.chapter = near.chapter AND m.kind = near.kind AND m.num = near.num
     LEFT JOIN far ON m.doc = far.doc AND m.kind = far.kind AND m.num = far.num)"""
@@ -48,7 +48,8 @@ r AS (SELECT m.doc, m.chapter, m.id, m.kind, m.num, nullif(coalesce(near.target,
 def _resolved(spark, d):
     c = _cited(spark, d)
     near = L.citation_index(c, DOC, ORDER).unionByName(L.section_index(c, DOC, ORDER))
-    far = L.citation_index(c, ["doc"], ORDER).unionByName(L.section_index(c, ["doc"], ORDER))
+    # Beyond the own chapter the first chapter that has the number counts.
+    far = L.citation_index(c, ["doc"], ["chapter", *ORDER], first=True).unionByName(L.section_index(c, ["doc"], ["chapter", *ORDER]))
     return L.resolve_mentions(mentions_of(blocks(spark, d)), near, far, DOC, ["doc"])
 
 

@@ -12,6 +12,7 @@ from strataq.operators import quality as Y
 from strataq.operators import registry as R
 from strataq.operators import sequence as S
 from strataq.operators import tables as B
+from strataq.operators.nested import readable
 from strataq.plans.corpus import CUR, WITH, blocks, current
 from strataq.plans.text_queries import DOC, ORDER, mentions_of
 from strataq.sources import table
@@ -470,11 +471,38 @@ def upsert_latest(spark, d):
     return R.keep_latest(table(spark, d, "events"), ["user_id", "event_type"], ["ts", "event_id"]).select("user_id", "event_type", "value", "event_id")
 
 
-@query(f"""{WITH}, {_VALID}, c AS (SELECT source.standard AS doc, source.chapter AS chapter, count_if(errors <> '') = 0 AS passed, CASE WHEN source.chapter % 11 = 0 THEN 'unreadable' END AS error, count(*) AS n_elements FROM v GROUP BY ALL)
+@query(f"""{WITH}, {_VALID}, c0 AS (SELECT source.standard AS doc, source.chapter AS chapter, count_if(errors <> '') = 0 AS passed, count(*) AS n_elements FROM v GROUP BY ALL),
+    bad AS (SELECT DISTINCT standard AS doc, chapter FROM raw_records WHERE NOT coalesce(json_valid(payload), false)), c AS (SELECT c0.*, CASE WHEN bad.doc IS NOT NULL THEN 'unreadable' END AS error FROM c0 LEFT JOIN bad USING (doc, chapter))
     SELECT count_if(error IS NULL AND passed) AS n_passed, count_if(error IS NULL AND NOT passed) AS n_failed, count(error) AS n_errors, sum(n_elements)::BIGINT AS n_elements FROM c""")
 def batch_summary(spark, d):
-    c = validate_chapter(spark, d).select((F.col("failed") == 0).alias("passed"), F.when(F.col("chapter") % 11 == 0, "unreadable").alias("error"), F.col("total").alias("n_elements"))
-    return R.batch_summary(c)
+    """Chapters with a delivery that can't be read count as errors."""
+    bad = readable(table(spark, d, "raw_records")).filter("not readable").select(F.col("standard").alias("doc"), "chapter", F.lit("unreadable").alias("error")).distinct()
+    c = validate_chapter(spark, d).join(bad, ["doc", "chapter"], "left")
+    return R.batch_summary(c.select((F.col("failed") == 0).alias("passed"), "error", F.col("total").alias("n_elements")))
+
+
+@query(f"{WITH} SELECT id, {' AND '.join(f'coalesce({_CHECKS[c]}, false)' for c in ('id', 'type', 'source', 'title'))} AND data IS NOT NULL AND metadata.extracted_by IS NOT NULL AND metadata.qc_status IS NOT NULL AS ok FROM cur")
+def light_validation(spark, d):
+    return Y.light(current(spark, d)).select("id", "ok")
+
+
+@query(f"""{WITH}, {_FOUND}, {_TRUTH}, u AS (SELECT coalesce(t.doc, f.doc) AS doc, coalesce(t.kind, f.kind) AS kind, t.num AS t, f.num AS f FROM truth t FULL JOIN found f ON t.doc = f.doc AND t.kind = f.kind AND t.num = f.num WHERE t.num IS NULL OR f.num IS NULL)
+    SELECT doc, kind, coalesce(string_agg(t, ',' ORDER BY t), '') AS missing, coalesce(string_agg(f, ',' ORDER BY f), '') AS extra FROM u GROUP BY 1, 2""")
+def coverage_lists(spark, d):
+    found = Y.coverage_lists(_truth(spark, d), _found(spark, d), ["doc"])
+    return found.select("doc", "kind", F.array_join("missing", ",").alias("missing"), F.array_join("extra", ",").alias("extra"))
+
+
+@query(f"{WITH}, {_FOUND}, {_TRUTH} SELECT coalesce(t.doc, f.doc) AS doc, round(count_if(t.doc IS NOT NULL AND f.doc IS NOT NULL) / greatest(count(t.doc), 1), 4) AS score FROM truth t FULL JOIN found f ON t.doc = f.doc AND t.kind = f.kind AND t.num = f.num GROUP BY 1")
+def coverage_overall(spark, d):
+    return Y.overall(Y.coverage(_truth(spark, d), _found(spark, d), ["doc"]), ["doc"])
+
+
+@query(f"{WITH}, v AS (SELECT id, unnest(map_values(r)) AS c FROM (SELECT id, unnest(data.rows) AS r FROM cur)) SELECT id, CASE WHEN contains(c, '.') AND regexp_matches(trim(c, ' '), '^[+-]?\\d+(?:\\.\\d*)?$') THEN 'number' WHEN regexp_matches(trim(c, ' '), '^[+-]?\\d{{1,18}}$') THEN 'integer' ELSE 'text' END AS kind, count(*) AS n FROM v WHERE c IS NOT NULL GROUP BY 1, 2")
+def cell_kinds(spark, d):
+    v = current(spark, d).select("id", F.explode("data.rows").alias("r")).select("id", F.explode(F.map_values("r")).alias("c")).filter("c is not null").withColumn("v", T.cell_value(F.col("c")))
+    kind = F.when(F.col("v.number").isNotNull(), "number").when(F.col("v.integer").isNotNull(), "integer").otherwise("text")
+    return v.groupBy("id", kind.alias("kind")).agg(_n().alias("n"))
 
 
 # --- tables and places -------------------------------------------------------
@@ -567,6 +595,17 @@ def spaced_lines(spark, d):
     return S.spaced_text(c, ["page", "t"], ["x0", "box"])
 
 
+@query(f"WITH bx AS ({_BOX}) SELECT page, t AS line, count(*) AS n, min(l) AS x0, max(r) AS x1, avg(l_linenumber) AS size, bool_or(side = 1) AS any_bold, bool_and(side = 1) AS all_bold FROM (SELECT *, t / 90 AS l_linenumber FROM bx) GROUP BY 1, 2")
+def block_boxes(spark, d):
+    c = _boxes(spark, d).select("page", F.col("t").alias("line"), F.col("l").alias("x0"), F.col("r").alias("x1"), F.col("t").alias("top"), F.col("b").alias("bottom"), (F.col("t") / 90).alias("size"), (F.col("side") == 1).alias("bold"))
+    return G.block_boxes(c, ["page", "line"]).drop("top", "bottom")
+
+
+@query()  # follows the greedy matching
+def match_scores(spark, d):
+    return G.match_scores(iou_match(spark, d))
+
+
 @query("SELECT floor(l_quantity / 10)::BIGINT AS bin, l_linestatus AS kind, count(*) AS n FROM lineitem GROUP BY 1, 2")
 def size_histogram(spark, d):
     return table(spark, d, "lineitem").groupBy(F.floor(F.col("l_quantity") / 10).alias("bin"), F.col("l_linestatus").alias("kind")).agg(_n().alias("n"))

@@ -164,6 +164,8 @@ def _sql_repair() -> str:
     c = _sql_replaced("x", T.LIGATURES)
     for gap, word in T.gaps():
         c = f"regexp_replace({c}, '{gap}', '{word}', 'g')"
+    for before, after in T.ORPHANS:
+        c = f"regexp_replace({c}, '{before}', '{after.replace('$', chr(92))}', 'g')"
     return f"regexp_replace(regexp_replace({c}, {_JOIN}), '  +', ' ', 'g')"
 
 
@@ -294,8 +296,7 @@ def near_empty_filter(spark, d):
 
 @query(f"WITH {_LINES} SELECT doc_id, pos::INT AS pos, line FROM l WHERE regexp_matches(line, '^\\d{{1,4}}$|^Downloaded from|^Page \\d+|^- \\d+ -$')")
 def furniture_skip(spark, d):
-    furniture = r"^\d{1,4}$|^Downloaded from|^Page \d+|^- \d+ -$"
-    return _lines(spark, d).filter(F.col("line").rlike(furniture)).select("doc_id", "pos", "line")
+    return _lines(spark, d).filter(C.is_furniture(F.col("line"))).select("doc_id", "pos", "line")
 
 
 @query(f"""{WITH} SELECT id, row_number() OVER (PARTITION BY doc, chapter ORDER BY page, CASE WHEN given = 'formula' THEN 0 ELSE seq END, id) AS position FROM b""")
@@ -319,15 +320,16 @@ def headings_in_order(spark, d):
     return S.headings_in_order(blocks(spark, d).filter("given = 'heading'"), DOC, ORDER).select("id", "section", "rank")
 
 
-@query(f"""{WITH}, st AS (SELECT doc, chapter, min(seq) AS page FROM b GROUP BY 1, 2),
-    bo AS (SELECT doc, min(seq) AS page FROM b WHERE given = 'reference' GROUP BY doc, chapter),
+@query(f"""{WITH}, st AS (SELECT doc, chapter, min(page) AS page FROM b WHERE page > 0 GROUP BY 1, 2), la AS (SELECT doc, max(page) AS last_page FROM b GROUP BY 1),
+    bo AS (SELECT doc, min(page) AS page FROM b WHERE given = 'reference' AND page > 0 GROUP BY doc, chapter),
     u AS (SELECT doc, chapter, page, true AS s FROM st UNION ALL SELECT doc, NULL, page, false FROM bo)
-    SELECT doc, chapter, page, end_page FROM (SELECT *, least(coalesce(min(page) OVER (PARTITION BY doc ORDER BY page RANGE BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) - 1, page + 49), page + 49) AS end_page FROM u) WHERE s""")
+    SELECT doc, chapter, page, least(end_page, last_page) AS end_page FROM (SELECT *, least(coalesce(min(page) OVER (PARTITION BY doc ORDER BY page RANGE BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) - 1, page + 49), page + 49) AS end_page FROM u) JOIN la USING (doc) WHERE s""")
 def chapter_ranges(spark, d):
     b = blocks(spark, d)
-    starts = b.groupBy("doc", "chapter").agg(F.min("seq").alias("page"))
-    ends = b.filter("given = 'reference'").groupBy("doc", "chapter").agg(F.min("seq").alias("page")).drop("chapter")
-    return S.chapter_ranges(starts, ends, ["doc"])
+    starts = b.filter("page > 0").groupBy("doc", "chapter").agg(F.min("page").alias("page"))
+    ends = b.filter("given = 'reference' and page > 0").groupBy("doc", "chapter").agg(F.min("page").alias("page")).drop("chapter")
+    last = b.groupBy("doc").agg(F.max("page").alias("last_page"))
+    return S.chapter_ranges(starts.join(last, "doc"), ends, ["doc"], last_page="last_page").drop("last_page")
 
 
 QUERIES = Q

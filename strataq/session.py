@@ -27,8 +27,9 @@ def build_session(app: str = "strataq", cores: str = "*", partitions: int = 8) -
 def scratch_dir(spark: SparkSession) -> str:
     """The folder all executors share.
 
-    ``spark.checkpoint.dir`` names it on a cluster.  Only where it is unset
-    (local tests) a temporary folder of this machine is taken.
+    ``spark.checkpoint.dir`` names it on a cluster.  Only where it is unset in a local
+    session a temporary folder of this machine is taken; on a cluster each executor
+    would write to its own disk, so there the setting is required.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -37,6 +38,8 @@ def scratch_dir(spark: SparkSession) -> str:
     known = sc._jsc.sc().getCheckpointDir()
     if known.isDefined():
         return known.get().rstrip("/")
+    if not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     own = tempfile.mkdtemp(prefix="strataq-")
     sc.setCheckpointDir(own)
     return "file://" + own
@@ -58,16 +61,28 @@ def durable(df: DataFrame, by: str | None = None) -> DataFrame:
 
     A written table survives the loss of executors, is stored compressed and can
     be pruned by column.  ``by`` names a low-cardinality partition column.  The
-    files go when the driver ends.
+    files go with ``release``, or when the driver ends.
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/strataq-{uuid.uuid4().hex}"
     writer = df.write.mode("overwrite")
     (writer.partitionBy(by) if by else writer).parquet(path)
-    atexit.register(_remove, spark, path)
+    if not _written:
+        atexit.register(release, spark)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: The tables written so far.
+_written: list[str] = []
+
+
+def release(spark: SparkSession) -> None:
+    """Remove the tables written so far, once the results that read them are written themselves."""
+    while _written:
+        _remove(spark, _written.pop())
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     try:
         jvm = spark.sparkContext._jvm

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from datetime import UTC, datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -133,6 +136,13 @@ def markdown(elements: DataFrame) -> DataFrame:
     return elements.select("source.standard", "source.chapter", "seq", line.alias("line"))
 
 
+def write_report(report: dict, path: str) -> None:
+    """A report of a few numbers as one JSON file, with the time it was made."""
+    made = {"timestamp": datetime.now(UTC).isoformat()} | report
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump(made, f, indent=2, default=str, ensure_ascii=False)
+
+
 def checkpoint_page(chapters: DataFrame, title: str = "Checkpoint") -> str:
     """An HTML table of the checkpoint of each chapter: a row a chapter reaches the driver."""
     cells = F.array(*(html_escape(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in chapters.columns))

@@ -35,6 +35,12 @@ def parse_files(spark: SparkSession, path: str, parser: Callable[[str, bytes], I
     return files.mapInArrow(run, schema)
 
 
+def page_texts(items: DataFrame) -> DataFrame:
+    """(doc, page, text): the text of each page, its items in order, a line each."""
+    parts = items.groupBy("doc", "page").agg(F.array_sort(F.collect_list(F.struct("seq", "text"))).alias("p"))
+    return parts.select("doc", "page", F.array_join(F.transform("p", lambda x: x["text"]), "\n").alias("text"))
+
+
 def clean_chars(chars: DataFrame, left: float = 40, foot: float = 770) -> DataFrame:
     """Without margins, footers and fallback fonts; ligatures as letters."""
     kept = chars.filter((F.col("x0") >= left) & (F.col("top") <= foot) & ~F.coalesce(F.col("font"), F.lit("")).rlike(r"\+f[bc]"))
