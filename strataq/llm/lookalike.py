@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataq.operators.current import current_rows
+from strataq.session import durable
 
 # For each Latin letter the letters of other alphabets that look like it.
 LOOKS = {
@@ -57,6 +58,9 @@ ACTIVE = (
     "\\u1AB0-\\u1AFF\\u1DC0-\\u1DFF\\u1F00-\\u1FFF\\u2000-\\u200F\\u202F\\u205F-\\u2064\\u20D0-\\u20FF\\u212A\\u212B\\u2126\\u2160-\\u217F\\u3000\\uFB00-\\uFB06\\uFEFF\\uFF01-\\uFF5E\\uFFE0-\\uFFE6]"
 )
 
+#: Texts of one look that one task meets.
+HOT = 50_000
+
 # Costs that no score of a word of ordinary length reaches.
 SWITCH, FOREIGN = 1e9, 1e5
 _WORD = re.compile(r"[^\W\d_](?:[̀-ͯ]|[^\W\d_])*")
@@ -202,12 +206,25 @@ def forms(elements: DataFrame, fields: dict[str, str] | None = None) -> DataFram
     return rows.withColumn("form", one_form(F.col("text"), pairs))
 
 
+def look_classes(elements: DataFrame, fields: dict[str, str] | None = None) -> DataFrame:
+    """(id, field, class_id, n_texts): the look each text belongs to, and how many different texts have it.
+
+    ``class_id`` is the smallest id with that look; texts whose look no other text has are left out.
+    """
+    rows = forms(elements, fields).withColumns(dict(zip(("f1", "f2"), _hashed(F.col("form")), strict=True)))
+    own = durable(rows.select("id", "field", "f1", "f2", F.xxhash64(F.lit(23), "text").alias("t")))
+    # Equal texts first, so a look that many have is counted by its different texts.
+    texts = own.groupBy("field", "f1", "f2", "t").agg(F.min("id").alias("id"))
+    classes = texts.groupBy("field", "f1", "f2").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("n_texts")).filter("n_texts > 1")
+    return own.join(classes, ["field", "f1", "f2"]).select("id", "field", "class_id", "n_texts")
+
+
 def _hashed(c: Column) -> list[Column]:
     # The hash of one column is the seed of the next: the salt stands first, else the second follows from the first.
     return [F.xxhash64(c), F.xxhash64(F.lit(17), c)]
 
 
-def look_same(elements: DataFrame, fields: dict[str, str] | None = None) -> DataFrame:
+def look_same(elements: DataFrame, fields: dict[str, str] | None = None, hot: int = HOT) -> DataFrame:
     """(id_a, id_b, field): current texts that look the same with other characters.
 
     Texts stay where they are read: 128-bit hashes of each text and of its form
@@ -227,6 +244,15 @@ def look_same(elements: DataFrame, fields: dict[str, str] | None = None) -> Data
         )
     now = current_rows(read.select("id", "loaded_at", *held), [f"h{i}" for i in range(len(fields))])
     rows = now.select("id", F.inline(F.filter(F.array(*(f"h{i}" for i in range(len(fields)))), lambda x: x.isNotNull())))
+    rows = durable(rows)
+    key = ["field", "f1", "f2"]
     asks = rows.filter("f1 <> t1 or f2 <> t2")
-    met = asks.alias("a").join(rows.alias("b"), ["field", "f1", "f2"]).filter("a.id <> b.id and (a.t1 <> b.t1 or a.t2 <> b.t2)")
+    # A look that many texts share is met in parts: those who ask are spread, the others are met by each part.
+    # There are at most as many such looks as rows by ``hot``.
+    counted = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.expr("f1 <> t1 or f2 <> t2")).alias("n_asks"))
+    crowded = F.broadcast(counted.filter((F.col("n") > hot) & (F.col("n_asks") > 0)).select(*key, F.least(F.ceil(F.col("n") / hot), F.col("n_asks")).cast("int").alias("parts")))
+    parts = F.coalesce("parts", F.lit(1))
+    asks = asks.join(crowded, key, "left").withColumn("part", F.pmod(F.xxhash64("id"), parts).cast("int")).drop("parts")
+    others = rows.join(crowded, key, "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
+    met = asks.alias("a").join(others.alias("b"), [*key, "part"]).filter("a.id <> b.id and (a.t1 <> b.t1 or a.t2 <> b.t2)")
     return met.select(F.least("a.id", "b.id").alias("id_a"), F.greatest("a.id", "b.id").alias("id_b"), "field").distinct()

@@ -16,6 +16,10 @@ def p3_forms(spark: SparkSession, d: str) -> DataFrame:
     return lookalike.forms(table(spark, d, "elements")).select("id", "field", "form")
 
 
+def p3_classes(spark: SparkSession, d: str) -> DataFrame:
+    return lookalike.look_classes(table(spark, d, "elements"))
+
+
 def p6_packed(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(table(spark, d, "documents"), table(spark, d, "containers"))
 
@@ -37,7 +41,7 @@ def p8_shared_chars(spark: SparkSession, d: str) -> DataFrame:
     return spans.shared_chars(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_forms, p6_packed, p6_report, p7_found, p8_found, p8_shared_chars)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_forms, p3_classes, p6_packed, p6_report, p7_found, p8_found, p8_shared_chars)}
 
 #: No SQL: look-alike lattices, packing, token windows and long spans are tested against brute force.
 SQL: dict[str, str] = {}

@@ -64,7 +64,11 @@ def test_pairs(spark):
     ]
     want = [("a", "b", "title"), ("b", "c", "title"), ("f", "g", "data.definition"), ("h", "i", "title")]
     assert pairs(lookalike.look_same(elements(spark, *rows))) == want
+    assert pairs(lookalike.look_same(elements(spark, *rows), hot=1)) == want
     assert lookalike.look_same(elements(spark)).count() == 0
+    assert pairs(lookalike.look_classes(elements(spark, *rows))) == sorted(
+        [(i, "title", "a", 2) for i in "abc"] + [(i, "data.definition", "f", 2) for i in "fg"] + [(i, "title", "h", 2) for i in "hi"]
+    )
     forms = {(r.id, r.field): r.form for r in lookalike.forms(elements(spark, *rows)).collect()}
     assert forms["b", "title"] == "Wind load" and ("f", "title") not in forms and forms["g", "data.definition"] == ""
 
