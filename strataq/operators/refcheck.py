@@ -138,7 +138,9 @@ def orphans(references: DataFrame, loads: DataFrame, withdrawals: DataFrame) ->
         .filter("target_id <> ''")
         .withColumn("first_load", F.lit(None).cast("timestamp"))
     )
+    # Written once: the range partitioning reads it twice, to sample the keys and to place the rows.
     stream = marks.unionByName(events(withdrawals, _WITHDRAWN)).unionByName(events(loads, _LOADED)).unionByName(refs)
+    stream = durable(stream)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # A reference without a time sorts with the marks, which come first.
     placed = stream.repartitionByRange(parts, *_KEYS).sortWithinPartitions(*_KEYS)

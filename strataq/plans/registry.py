@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from strataq.plans import emit_queries, link_queries, problems, quality_queries, text_queries
+from strataq.plans import emit_queries, io_queries, link_queries, problems, quality_queries, text_queries
 
-_MODULES = (problems, text_queries, link_queries, quality_queries, emit_queries)
+_MODULES = (problems, text_queries, link_queries, quality_queries, emit_queries, io_queries)
 
 #: Columns whose type the SQL engine makes wider or narrower than a count or a row number is here.
 _TYPES = {
@@ -22,6 +22,7 @@ _TYPES = {
         "checkpoint_chapters": "n_full n_valid n_unclassified",
         "quality_report": "n_text_blocks n_headings n_clean_headings",
         "batch_summary": "n_passed n_failed",
+        "clean_chars": "n_left",
         "extract_corpus": "n_provisions n_text_blocks",
     },
     "INTEGER": {"page_order": "position", "headings_in_order": "rank", "parent_children": "place"},

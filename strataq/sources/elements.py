@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataq.functions.text import html_escape
@@ -83,8 +83,11 @@ def unreadable(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _whole(spark: SparkSession, path: str) -> DataFrame:
-    text = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.expr("try_parse_json(value)").alias("j"))
-    return text
+    """(file, j) of each file, and of each line of a file that isn't one JSON value but one a line."""
+    text = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+    lines = F.filter(F.split("value", "\n"), lambda x: F.trim(x) != "")
+    one = F.when((F.json_array_length(F.concat(F.lit("["), "value", F.lit("]"))) == 1) | (F.size(lines) < 2), F.array("value")).otherwise(lines)
+    return text.select("file", F.explode_outer(one).alias("v")).select("file", F.expr("try_parse_json(v)").alias("j"))
 
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
@@ -110,10 +113,23 @@ def write_elements(elements: DataFrame, path: str, mode: str = "overwrite") -> N
     named.write.mode(mode).partitionBy("standard", "chapter").parquet(path)
 
 
+def as_json() -> Column:
+    """An element row as the JSON object that ``read_elements`` reads; absent fields are left out."""
+    value = lambda c: F.coalesce(c["value_num"].cast("variant"), c["value_str"].cast("variant"))
+    conditions = F.transform("data.conditions", lambda c: F.struct(c["parameter"].alias("parameter"), c["operator"].alias("operator"), value(c).alias("value"), c["unit"].alias("unit")))
+    parameters = F.coalesce(F.expr("cast(parse_json(to_json(data.parameters)) as variant)"), F.expr("cast(parse_json(to_json(data.reference_parameters)) as variant)"))
+    kept = ("rule", "exceptions", "term", "definition", "columns", "rows", "expression", "target", "url", "figure_type", "description", "source_pdf_page")
+    data = F.struct(
+        *(F.col(f"data.{c}").alias(c) for c in kept), conditions.alias("conditions"), F.col("data.then_text").alias("then"), F.col("data.else_text").alias("else"), parameters.alias("parameters")
+    )
+    top = ("id", "type", "title", "description", "parent_id", "source", "metadata", "cross_references")
+    return F.to_json(F.struct(*top, data.alias("data")))
+
+
 def write_elements_json(elements: DataFrame, path: str, by: str | None = None, mode: str = "overwrite") -> None:
-    """JSON lines; ``by`` (as ``id`` for gold rows) puts each value in a folder of its own."""
-    w = elements.write.mode(mode)
-    (w.partitionBy(by) if by else w).json(path)
+    """One JSON object a line; ``by`` (as ``id`` for gold rows) puts each value in a folder of its own."""
+    w = elements.select(as_json().alias("value"), *([by] if by else [])).write.mode(mode)
+    (w.partitionBy(by) if by else w).text(path)
 
 
 def changed_rows(before: DataFrame, after: DataFrame, key: str = "id") -> DataFrame:
