@@ -212,7 +212,7 @@ def test_compare_takes_parameters_and_pages(spark):
     assert got == sorted([*((i, "data.parameters", "authoritative") for i in "urskn"), ("x", "data.reference_parameters", "helper"), ("y", "data.source_pdf_page", "helper")])
     one = X.compare_summary(X.pair_status(m)).first()
     assert (one.agreed, one.helper_only, one.authoritative) == (2, 2, 5)
-    assert X.review_queue(X.pair_status(m), X.diff_fields(m)).count() == 7
+    assert X.review_queue(m).count() == 7
 
 
 def test_calibration_takes_the_whole_payload(spark, tmp_path):
@@ -317,7 +317,8 @@ def test_gate_takes_the_three_scores(spark, benchmarked):
     from strataq.plans import registry as queries
     rows = queries.queries()["deploy_gate"](spark, benchmarked).collect()
     got = {(r.doc, r.check): r.passed for r in rows}
-    assert len(rows) == len(got) == 26
+    assert len(rows) == len(got) == 28
+    assert not got["BAD", "all"] and got["GOOD", "all"] == all(v for (d, c), v in got.items() if d == "GOOD" and c != "all")
     assert [got["GOOD", c] for c in ("composite", "coverage", "fidelity")] == [True, True, True]
     assert [got["BAD", c] for c in ("composite", "coverage", "fidelity")] == [False, True, False]
 
@@ -367,3 +368,89 @@ def test_stream_keeps_a_registry(spark, tmp_path):
     spark.createDataFrame([("a", "zz", 3), ("b", "q", 4)], "symbol string, description string, n int").write.mode("append").parquet(src)
     run()
     assert pairs(spark.read.parquet(out + "/v=1").select("symbol", "description")) == [("a", "xyz"), ("b", "q")]
+
+
+def test_row_emitters_on_edge_cases(spark):
+    from strataq.operators import emit as E
+
+    rows = [("d", 1, 1, "a", 1, "Figure 1.2-3A Load on a  roof"), ("d", 1, 2, "b", 1, None), ("d", 1, 3, "c", 2, ""), ("d", 1, 4, "e", 2, "see Figure 1.2-3A and Table 1.1-2 here"), ("d", 1, 5, "f", 2, "Table 1.1-2. Twice")]
+    b = spark.createDataFrame(rows, "doc string, chapter int, seq int, id string, page int, text string")
+    scope, order = ["doc", "chapter"], ["seq", "id"]
+    assert pairs(E.labels(b, "table", scope, order).select("num", "id")) == [("1.1-2", "e")]
+    got = E.figure_rows(b.filter("id = 'a'"), b.filter("id = 'e'"), b, scope, "page", order)
+    assert pairs(got.select("num", "section", "citation", "page")) == [("1.2-3A", "1.2", "Figure 1.2-3A", 1)]
+    held = spark.createDataFrame([("d", 1, "figure", "Figure 1.2-3A"), ("d", 1, "table", None)], "doc string, chapter int, type string, citation string")
+    assert pairs(E.missing_labels(b, held, scope, order).select("kind", "num", "section", "id")) == [("table", "1.1-2", "1.1", "e")]
+    assert E.missing_labels(b.limit(0), held, scope, order).count() == 0
+    tables = b.filter("id in ('f', 'b')").select("doc", "chapter", "page", "id")
+    assert pairs(E.table_rows(tables, b, ["doc", "chapter", "page"], order).select("id", "title", "citation", "section")) == [("b", "Table", "", "1"), ("f", "see Figure 1.2-3A and Table 1.1-2 here", "Table 1.1-2", "1.1")]
+    known = spark.createDataFrame([("d", "ASTM 7, Guide to a thing, old")], "doc string, target string")
+    refs = spark.createDataFrame([("d", 1, "ASTM 7, Guide to a thing, new"), ("d", 2, "ASTM 9, x"), ("d", 3, "ASTM 9, x"), ("d", 4, "ASTMX"), ("e", 5, "ASTM 7, Guide to a thing")], "doc string, seq int, text string")
+    assert pairs(E.reference_rows(refs, known, ["doc"], ["seq"], ("ASTM",))) == [("d", 2, "ASTM 9", "ASTM 9, x"), ("e", 5, "ASTM 7", "ASTM 7, Guide to a thing")]
+    heads = spark.createDataFrame([("h", "1.1 Scope These rules apply", "1.1 Scope"), ("i", "1.2 End x", "1.2 End"), ("j", None, None)], "id string, text string, bold string")
+    assert pairs(E.heading_rows(heads).select("id", "part", "type", F.coalesce("rule", F.lit("-")))) == [("h", 0, "heading", "1.1 Scope"), ("h", 1, "text_block", "These rules apply"), ("i", 0, "heading", "1.2 End x"), ("j", 0, "heading", "-")]
+    pages = spark.createDataFrame([("d", 1, 1, "As w = 3\nq = 5 t (1.2-1) and determined using it shall be (1.2-2)\n(2.1-1) x"), ("d", 1, 2, "again q (1.2-1)")], "doc string, chapter int, page int, page_text string")
+    none = spark.createDataFrame([], "doc string, chapter int, num string")
+    assert pairs(E.page_equations(pages, none, scope, "page").select("num", "page", "expression")) == [("1.2-1", 1, "q = 5 t (1.2-1)"), ("1.2-2", 1, "q = 5 t (1.2-1) and determined using it shall be (1.2-2)")]
+    assert E.page_offset(b, b.selectExpr("page + 2 as index")).first().offset == -2 and E.page_offset(b.limit(0), b.selectExpr("page as index")).first().offset == 0
+    assert pairs(E.kept_chapters(spark.createDataFrame([(1, "A RESERVED"), (2, None), (3, "B")], "chapter int, title string"), [1, 2])) == [(2, None)]
+
+
+def test_symbols_between_equals_signs(spark):
+    from strataq.operators.registry import symbol_definitions, variables
+
+    said = {
+        "K_z = velocity factor, ft": [("K_z", "velocity factor", "ft")], "a = first thing b = second thing.": [("a", "first thing", None), ("b", "second thing", None)],
+        "where the load q z = some load, m/s (mi/h)": [], "and = x y z": [], "x = ab": [], "no sign": [], "": [], "= lost": [], "G_f = a = b = gust factor": [("b", "gust factor", None)],
+    }
+    df = spark.createDataFrame([(k,) for k in said], "t string").select("t", symbol_definitions(F.col("t")).alias("s"))
+    assert {r.t: [tuple(x) for x in r.s] for r in df.collect()} == said
+    v = spark.createDataFrame([("α K2_z + min(q, Lα) sin 2B",)], "e string").select(variables(F.col("e"))).first()[0]
+    assert v == ["B", "K", "K2_z", "L", "q", "z", "α"]
+
+
+def test_numbers_against_gold_and_against_runs(spark):
+    from strataq.operators.compare import near, near_gold
+
+    rows = [(0.0, 0.0005), (0.0005, 0.0), (100.0, 100.1), (100.1, 100.0), (None, None), (None, 1.0)]
+    df = spark.createDataFrame(rows, "a double, b double").select(near(F.col("a"), F.col("b")), near_gold(F.col("a"), F.col("b")))
+    assert [tuple(r) for r in df.collect()] == [(True, True), (False, False), (True, True), (True, True), (True, True), (False, False)]
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    from strataq import session
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+        _jsc = spark.sparkContext._jsc
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        with pytest.raises(ValueError):
+            session.scratch_dir(Session())
+
+
+def test_numbers_inside_a_citation(spark):
+    from strataq.operators.link import numbers_inside
+
+    got = spark.createDataFrame([("Figure 26.5-12A",), (None,), ("none",)], "c string").select(numbers_inside(F.col("c")).alias("n")).collect()
+    assert sorted(got[0].n) == ["26.5-1", "26.5-12", "6.5-1", "6.5-12"] and got[1].n is None and got[2].n == []
+
+
+def test_reports_of_the_command_line(spark, tmp_path):
+    from strataq.__main__ import batch_report, validation_report
+    from strataq.sources.elements import write_report
+
+    df = elements(spark, element("S-1-1.1-P1", data={"rule": "r", "conditions": []}, cross_references=["S-1-1.1-P1", "S-1-9.9-P1", "S-1-9-P2"]), element("bad"))
+    report = validation_report(df, df.limit(1))
+    assert report["schema"] == {"total": 2, "passed": 1} and report["cross_references"] == {"total": 3, "resolved": 1} and report["calibration"]["n_compared"] == 1
+    batch = batch_report(df)
+    assert batch["summary"] == {"chapters_processed": 1, "total_elements": 2, "passed": 0, "failed": 1}
+    write_report(batch, str(tmp_path / "r.json"))
+    assert json.loads((tmp_path / "r.json").read_text())["summary"]["failed"] == 1

@@ -1,4 +1,4 @@
-"""Every query with SQL gives the same rows as the SQL, on the smallest tables."""
+"""Every query with SQL gives the same rows as the SQL, on whole tables."""
 
 import datetime
 import os
@@ -9,7 +9,7 @@ import pytest
 
 from strataq.plans import registry
 
-FOLDER = os.environ.get("STRATAQ_TEST_DIR", "/root/testdata/sf0.001")
+FOLDER = os.environ.get("STRATAQ_TEST_DIR", "/root/testdata/sf0.01")
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data here")
 
 
