@@ -284,6 +284,41 @@ def spot_sample(spark, d):
     return O.spot_sample(current(spark, d)).select("id", "type")
 
 
+_PAGE_TEXTS = f"""pq AS (SELECT source.standard AS doc, source.chapter AS chapter, source.page AS page, string_agg(coalesce(data.rule, ''), ' ' ORDER BY seq, id) AS page_text FROM ({CUR.format(t='elements_b')}) GROUP BY 1, 2, 3)"""
+_CHECKED = "coalesce(nullif(data.rule, ''), nullif(data.definition, ''), '')"
+_BARE = lambda c: f"replace({c}, ' ', '')"
+_ONE = lambda c: f"regexp_replace({c}, '\\s+', ' ', 'g')"
+
+
+@query(f"""{WITH}, {_PAGE_TEXTS}, s AS (SELECT *, {_CHECKED} AS text FROM cur WHERE type IN ('provision', 'definition') AND length({_CHECKED}) > 50 ORDER BY md5(id), id LIMIT 30),
+    m AS (SELECT s.id, substring(trim({_ONE('text')}, ' '), 1, 50) AS x, {_ONE('page_text')} AS p FROM s LEFT JOIN pq ON pq.doc = s.source.standard AND pq.chapter = s.source.chapter AND pq.page = s.source.page)
+    SELECT id, CASE WHEN contains(p, x) THEN 'exact' WHEN contains({_BARE('p')}, {_BARE('x')}) THEN 'spacing' ELSE 'none' END AS match FROM m""")
+def spot_check(spark, d):
+    """Whether the texts of a sample stand on their pages."""
+    place = [F.col(f"source.{c}").alias(n) for c, n in (("standard", "doc"), ("chapter", "chapter"), ("page", "page"))]
+    b = current(spark, d, "elements_b").select(*place, F.struct("seq", "id", F.coalesce("data.rule", F.lit("")).alias("t")).alias("x"))
+    pages = b.groupBy("doc", "chapter", "page").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["t"]), " ").alias("page_text"))
+    text = T.first_filled(F.col("data.rule"), F.col("data.definition"))
+    rows = current(spark, d).filter("type in ('provision', 'definition')").select("id", *place, text.alias("text")).filter(F.length("text") > 50)
+    return Y.fidelity(O.spot_sample(rows), pages, ["doc", "chapter", "page"], 50, 0).select("id", "match")
+
+
+@query(f"{WITH} SELECT id, CASE WHEN {_IS_DEF} THEN trim(regexp_extract(text, '{_DEF}', 1, 's')) END AS term, CASE WHEN {_IS_DEF} THEN trim(regexp_extract(text, '{_DEF}', 2, 's')) END AS body FROM b WHERE contains(text, ':')")
+def definition_parts(spark, d):
+    b = blocks(spark, d).filter(F.contains("text", F.lit(":")))
+    return b.select("id", C.definition_parts(F.col("text")).alias("p")).select("id", "p.term", "p.body")
+
+
+_SKIP = "EXISTS (SELECT 1 FROM pat p WHERE p.doc = b.doc AND p.chapter = b.chapter AND p.kind = 'skip' AND (starts_with(bold, p.marker) OR starts_with(text, p.marker)))"
+
+
+@query(f"{WITH}, {PATTERNS}, {KIND.replace('WHERE length(text) >= 2', f'WHERE length(text) >= 2 AND NOT {_SKIP}')} SELECT kind, count(*) AS n FROM k GROUP BY kind")
+def classify_prefix_skip(spark, d):
+    """Every block that starts with a learned page number goes."""
+    b = blocks(spark, d)
+    return C.classify(b, C.learn_patterns(b, DOC), DOC, skip_by_prefix=True).groupBy("kind").agg(_n().alias("n"))
+
+
 _TUNE = f"""{_VALID}, {_BENCH}, sv AS (SELECT source.standard AS doc, count_if(errors = '') / count(*) AS s FROM v GROUP BY 1)
     SELECT bench.doc, round((coalesce(c, 0) + f + sv.s) / 3, 3) AS overall FROM bench JOIN sv USING (doc)"""
 

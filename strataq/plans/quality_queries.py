@@ -401,12 +401,27 @@ def gold_topk(spark, d):
 # --- registries --------------------------------------------------------------
 
 
-@query()  # look-ahead
+_LONG, _SHORT = (rf"{lead}([{R.LETTERS}][{R.LETTERS}0-9{R.MARKS}{inner}]*)\s*$" for lead, inner in ((r"(?:^|\s)", " "), (r"\s", "")))
+_SAID = lambda p, last: f"(SELECT CASE WHEN d <> '' AND NOT contains(d, chr(10)) THEN d END FROM (SELECT trim(CASE WHEN {last} THEN {p} WHEN regexp_matches({p}, '{_SHORT}') THEN regexp_replace({p}, '{_SHORT}', '') END, ' ') AS d))"
+_UNIT = "trim(regexp_replace(string_split(said, ',')[-1], '\\([^)]+\\)\\s*$', ''), ' ')"
+_REGISTRY = f"""
+src AS (SELECT doc, section, seq, id, string_split(CASE WHEN given = 'formula' THEN regexp_replace(text, ' \\(.*\\)$', '') ELSE text END, '=') AS parts FROM b),
+sg AS (SELECT doc, section, seq, id, i, len(parts) AS n, parts[i] AS p0, parts[i + 1] AS p1, CASE WHEN i > 1 THEN parts[i - 1] END AS pb FROM (SELECT *, unnest(range(1, len(parts))) AS i FROM src)),
+sd AS (SELECT *, regexp_replace({_SAID('p1', 'i + 1 = n')}, '\\.?,?$', '') AS said, coalesce(i > 1 AND regexp_matches(pb, '{_LONG}') AND {_SAID('p0', 'false')} IS NOT NULL, false) AS after FROM sg),
+sm AS (SELECT doc, section, seq, id, trim(CASE WHEN after THEN regexp_extract(p0, '{_SHORT}', 1) ELSE regexp_extract(p0, '{_LONG}', 1) END, ' ') AS symbol, said, CASE WHEN contains(said, ',') AND {_UNIT} IN ({', '.join(f"'{u}'" for u in R.UNITS)}) THEN {_UNIT} END AS unit FROM sd),
+sf AS (SELECT doc, section, seq, id, symbol, trim(CASE WHEN unit IS NOT NULL THEN substring(said, 1, length(said) - length(string_split(said, ',')[-1]) - 1) ELSE said END, ' ') AS description, unit FROM sm),
+sk AS (SELECT * FROM sf WHERE symbol <> '' AND length(symbol) <= 15 AND length(description) >= 3 AND lower(symbol) NOT IN ({', '.join(f"'{u}'" for u in R.NO_SYMBOLS)})),
+sl AS (SELECT * EXCLUDE r FROM (SELECT *, row_number() OVER (PARTITION BY doc, symbol ORDER BY length(description) DESC, seq, id, description) AS r FROM sk) WHERE r = 1),
+sb AS (SELECT * EXCLUDE r FROM (SELECT *, row_number() OVER (PARTITION BY doc, symbol ORDER BY length(description) DESC, description) AS r FROM (SELECT * REPLACE (replace(symbol, ' ', '') AS symbol) FROM sl) x WHERE NOT EXISTS (SELECT 1 FROM sl WHERE sl.doc = x.doc AND sl.symbol = x.symbol)) WHERE r = 1)"""
+
+
+@query(f"{WITH}, {_REGISTRY} SELECT doc, symbol, description FROM sl UNION ALL SELECT doc, symbol, description FROM sb")
 def symbols_registry(spark, d):
     b = blocks(spark, d)
     src = b.withColumn("t", F.when(F.col("given") == "formula", F.regexp_replace("text", r" \(.*\)$", "")).otherwise(F.col("text")))
     found = src.select("doc", "section", "seq", "id", F.inline(R.symbol_definitions(F.col("t"))))
-    return R.with_aliases(R.keep_longest(found, ["doc", "symbol"], "description", ["seq", "id"]), ["doc"])
+    kept = R.keep_longest(found, ["doc", "symbol"], "description", ["seq", "id", "description"])
+    return R.with_aliases(kept, ["doc"]).select("doc", "symbol", "description")
 
 
 _VARS = f"""SELECT id, doc, w AS symbol FROM (SELECT id, doc, unnest(regexp_extract_all(expression, '[\\p{{L}}\\p{{N}}_]+', 0)) AS w FROM f) WHERE regexp_full_match(w, '[A-Za-z][A-Za-z0-9_]*')
@@ -440,7 +455,11 @@ def resolve_parameters(spark, d):
     return R.resolve_parameters(f, symbol_merge(spark, d), ["doc"])
 
 
-@query()  # repeated matches in neighbouring rows; tested on a fixture
+@query(f"""{WITH}, {_FORM}, va AS ({_VARS}), rw AS (SELECT source.standard AS doc, source.chapter AS chapter, id, type, coalesce(data.rule, data.expression) AS text, row_number() OVER (PARTITION BY source.standard, source.chapter ORDER BY seq, id) AS k FROM cur),
+    nb AS (SELECT f.id, r.k, unnest(regexp_extract_all(r.text, '([A-Za-z][A-Za-z0-9_]*)\\s*=\\s*([^,;=]+)', 0)) AS m, generate_subscripts(regexp_extract_all(r.text, '([A-Za-z][A-Za-z0-9_]*)\\s*=\\s*([^,;=]+)', 0), 1) AS j
+        FROM rw f JOIN rw r ON f.doc = r.doc AND f.chapter = r.chapter AND r.k BETWEEN f.k - 3 AND f.k + 3 AND r.k <> f.k WHERE f.type = 'formula'),
+    nd AS (SELECT id, trim(regexp_extract(m, '([A-Za-z][A-Za-z0-9_]*)\\s*=\\s*([^,;=]+)', 1), ' ') AS symbol, trim(regexp_extract(m, '([A-Za-z][A-Za-z0-9_]*)\\s*=\\s*([^,;=]+)', 2), ' ') AS description, k, j FROM nb)
+    SELECT nd.id, nd.symbol, arg_min(nd.description, (k, j)) AS description FROM nd JOIN (SELECT DISTINCT id, symbol FROM va WHERE symbol NOT IN {_IN(R.NO_VARIABLES)}) v ON v.id = nd.id AND v.symbol = nd.symbol WHERE length(nd.description) > 3 GROUP BY 1, 2""")
 def nearby_definitions(spark, d):
     c = current(spark, d).select(F.col("source.standard").alias("doc"), F.col("source.chapter").alias("chapter"), "seq", "id", "type", F.col("data.expression").alias("expression"), F.coalesce("data.rule", "data.expression").alias("text"))
     return R.nearby_definitions(c, DOC, ORDER)
