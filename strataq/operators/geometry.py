@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -87,19 +88,21 @@ def greedy_matches(gold: DataFrame, predicted: DataFrame, page: str, threshold:
     kind = both.schema[page].dataType.simpleString()
 
     def score(rows: list[tuple]) -> tuple:
-        golds, free = [r for r in rows if r[1] == 0], {i: r for i, r in enumerate(r for r in rows if r[1] == 1)}
-        n_predicted, matched, same, total = len(free), 0, 0, 0.0
-        for _, _, _, k, l, t, r, b in golds:
-            best, at = 0.0, -1
-            for i, (_, _, _, _, pl, pt, pr, pb) in free.items():
-                w, h = min(r, pr) - max(l, pl), min(b, pb) - max(t, pt)
-                if w > 0 and h > 0 and (v := w * h / ((r - l) * (b - t) + (pr - pl) * (pb - pt) - w * h)) > best:
-                    best, at = v, i
-            if best >= threshold and at >= 0:
-                same += free.pop(at)[3] == k
+        golds, free = [r for r in rows if r[1] == 0], [r for r in rows if r[1] == 1]
+        l_, t_, r_, b_ = np.array([r[4:8] for r in free], float).reshape(-1, 4).T
+        taken = np.zeros(len(free), bool)
+        matched, same, total = 0, 0, 0.0
+        for _, _, _, k, l, t, r, b in golds:  # one gold region against all predictions at once
+            both = np.clip(np.minimum(r, r_) - np.maximum(l, l_), 0, None) * np.clip(np.minimum(b, b_) - np.maximum(t, t_), 0, None)
+            whole = (r - l) * (b - t) + (r_ - l_) * (b_ - t_) - both
+            v = np.divide(both, whole, out=np.zeros(len(free)), where=(both > 0) & ~taken)
+            at = int(v.argmax()) if len(free) else 0
+            if len(free) and v[at] > 0 and v[at] >= threshold:
+                taken[at] = True
+                same += free[at][3] == k
                 matched += 1
-                total += best
-        return rows[0][0], len(golds), n_predicted, matched, same, total
+                total += float(v[at])
+        return rows[0][0], len(golds), len(free), matched, same, total
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [page, "n_gold", "n_predicted", "n_matched", "n_type", "sum_iou"]

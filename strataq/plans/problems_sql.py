@@ -85,3 +85,29 @@ SQL = {
     "p5_found": _P5 + " SELECT DISTINCT ref_table, ref_id, target_id, period FROM found",
     "p5_report": _P5 + " SELECT ref_table, period, status, count(*) AS n_refs, count(DISTINCT target_id) AS n_targets FROM found GROUP BY 1, 2, 3",
 }
+
+# --- nested records: every object of a document with its path, by the engine's own JSON tree -------
+
+_KEYS = lambda v, k: f"list_contains(json_keys({v}), '{k}')"
+_INNER = lambda j: f"CASE WHEN json_type({j}) = 'VARCHAR' THEN CASE WHEN json_valid({j} ->> '$') THEN ({j} ->> '$')::JSON END ELSE {j} END"
+_DOCS = f"""d0 AS (SELECT DISTINCT record_id, CASE WHEN json_valid(payload) THEN payload::JSON END AS j FROM raw_records),
+d1 AS (SELECT record_id, {_INNER('j')} AS j FROM d0), d2 AS (SELECT record_id, {_INNER('j')} AS j FROM d1 WHERE j IS NOT NULL),
+t AS (SELECT DISTINCT d2.record_id, replace(x.fullkey, '"', '') AS path, x.value::JSON AS v FROM d2, json_tree(d2.j) x WHERE d2.j IS NOT NULL AND x.type = 'OBJECT'),
+s AS (SELECT record_id, path, v ->> '$.section' AS section FROM t WHERE {_KEYS('v', 'section')} AND ({_KEYS('v', 'elements')} OR {_KEYS('v', 'sections')})),
+e AS (SELECT record_id, path, v FROM t WHERE {_KEYS('v', 'id')} AND {_KEYS('v', 'data')})"""
+_AROUND = lambda x: f"(SELECT arg_max(s.path, length(s.path)) FROM s WHERE s.record_id = {x}.record_id AND (starts_with({x}.path, s.path || '.') OR starts_with({x}.path, s.path || '[')))"
+_LIST = lambda n: f"CASE WHEN json_type(d -> '$.{n}') = 'ARRAY' THEN d -> '$.{n}' WHEN coalesce(json_type(d -> '$.{n}'), 'NULL') <> 'NULL' THEN json_array(d -> '$.{n}') END"
+_ENTRY = lambda n, alias: f"""{alias} AS (SELECT record_id, element_id, i::INT AS i, l -> ('$[' || i || ']') AS x FROM (SELECT *, unnest(range(0, json_array_length(l)::BIGINT)) AS i FROM (SELECT record_id, element_id, {_LIST(n)} AS l FROM g)))"""
+
+SQL["p1_found"] = f"""WITH {_DOCS}, g0 AS (SELECT record_id, v ->> '$.id' AS element_id, {_INNER("(v -> '$.data')")} AS d FROM e), g AS (SELECT record_id, element_id, {_INNER('d')} AS d FROM g0),
+{_ENTRY('columns', 'co')}, {_ENTRY('rows', 'ro')}, {_ENTRY('conditions', 'cd')}, {_ENTRY('exceptions', 'ex')}
+SELECT record_id, element_id, 'column' AS item_kind, i AS item_no, x ->> '$.name' AS item_name FROM co WHERE json_type(x) <> 'NULL'
+UNION SELECT record_id, element_id, 'cell', i, unnest(json_keys(x)) FROM ro WHERE json_type(x) = 'OBJECT'
+UNION SELECT record_id, element_id, 'condition', i, x ->> '$.parameter' FROM cd WHERE json_type(x) <> 'NULL'
+UNION SELECT record_id, element_id, 'exception', i, '' FROM ex WHERE json_type(x) <> 'NULL'
+UNION SELECT record_id, element_id, 'then', 0, '' FROM g WHERE json_type(d) = 'OBJECT' AND coalesce(d ->> '$.then', '') <> ''
+UNION SELECT record_id, element_id, 'parameter', 0, unnest(json_keys(d -> '$.parameters')) FROM g WHERE json_type(d -> '$.parameters') = 'OBJECT'"""
+
+SQL["p1_sections"] = f"WITH {_DOCS} SELECT record_id, path AS section_path, {_AROUND('s2')} AS parent_section_path, section FROM s s2"
+
+SQL["p1_elements"] = f"""WITH {_DOCS} SELECT record_id, path AS element_path, {_AROUND('e')} AS section_path, v ->> '$.id' AS element_id, v ->> '$.type' AS type, v ->> '$.title' AS title, v ->> '$.parent_id' AS parent_id FROM e"""
