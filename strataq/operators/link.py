@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataq.functions.text import section_prefixes
+from strataq.session import durable
 
 
 def citation_index(elements: DataFrame, scope: list[str], order: list[str], compat: bool = False, first: bool = False) -> DataFrame:
@@ -102,6 +103,8 @@ def associate(blocks: DataFrame, doc: list[str], order: list[str], kind: str = "
     first figure whose citation contains n; a list item to a provision or heading up
     to 14 rows back; the heading of the own or an outer section; the nearest heading.
     """
+    # Read for the rows, the figures and the headings: worked out once.
+    blocks = durable(blocks.select(*dict.fromkeys([*doc, *order, "id", kind, text, section, citation])))
     k, t = F.col(kind), F.col(text)
     relation = t.rlike("[=<>≤≥]")
     seen = blocks.withColumn("_where", look_back_until(doc, order, (k == "formula") | (k.isin("provision", "text_block") & relation), k == "heading", F.col("id"), WHERE_REACH))

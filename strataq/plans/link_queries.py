@@ -12,6 +12,7 @@ from strataq.operators import link as L
 from strataq.operators.conditions import RULES, parse_conditions
 from strataq.plans.corpus import CUR, WITH, blocks, current
 from strataq.plans.text_queries import DOC, MENTIONS, ORDER, mentions_of
+from strataq.session import durable
 from strataq.sources import table
 
 Q: dict = {}
@@ -46,7 +47,7 @@ r AS (SELECT m.doc, m.chapter, m.id, m.kind, m.num, nullif(coalesce(near.target,
 
 
 def _resolved(spark, d):
-    c = _cited(spark, d)
+    c = durable(_cited(spark, d))  # four indexes are made of it
     near = L.citation_index(c, DOC, ORDER).unionByName(L.section_index(c, DOC, ORDER))
     # Beyond the own chapter the first chapter that has the number counts.
     far = L.citation_index(c, ["doc"], ["chapter", *ORDER], first=True).unionByName(L.section_index(c, ["doc"], ["chapter", *ORDER]))

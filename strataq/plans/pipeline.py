@@ -16,6 +16,7 @@ from strataq.operators import classify as C
 from strataq.operators import emit as E
 from strataq.operators import link as L
 from strataq.operators import sequence as S
+from strataq.session import durable
 
 DOC, ORDER = ["doc", "chapter"], ["seq", "id"]
 
@@ -48,7 +49,7 @@ def run(blocks: DataFrame, index: DataFrame, classifier: Callable[[DataFrame], D
 
     ``index``: doc, chapter, kind, num, target of the items that numbers name.
     """
-    rows = elements_of(blocks, classifier)
+    rows = durable(elements_of(blocks, classifier))  # read for the links, the parents and the result
     said = rows.select(*DOC, F.col("new_id").alias("id"), F.inline(mentions(F.col("text"))))
     wide = index.groupBy("doc", "kind", "num").agg(F.max("target").alias("target"))
     linked = L.cross_references(L.resolve_mentions(said, index, wide, DOC, ["doc"])).withColumnRenamed("id", "new_id")
