@@ -89,7 +89,10 @@ def _has(name: str, node: str = "f") -> str:
 
 
 def walk(records: DataFrame, key: str = "record_id", payload: str = "payload") -> DataFrame:
-    """(key, readable, nodes): every section and element of each document."""
+    """(key, readable, nodes): every section and element of each document.
+
+    A document deeper than ``DEEP`` has a second row, with its nodes.
+    """
     base = spread(records.select(F.col(key).alias("k"), F.col(payload).cast("string").alias("p")))
     for _ in range(2):  # a generator, so that what follows doesn't work it out anew
         base = base.select("k", F.explode_outer(F.array(F.expr(_unwrapped("p")))).alias("p"))
@@ -98,7 +101,8 @@ def walk(records: DataFrame, key: str = "record_id", payload: str = "payload") -
     deep = F.coalesce(deep, F.lit(False))
     kind = records.schema[key].dataType.simpleString()
     far = base.filter(deep).mapInArrow(_far, f"k {kind}, readable boolean, nodes array<{_NODE}>")
-    return _near(base.filter(~deep)).unionByName(far).withColumnRenamed("k", key)
+    # The deep ones give no node here, so they needn't be told apart twice.
+    return _near(base).unionByName(far).withColumnRenamed("k", key)
 
 
 def readable(records: DataFrame, payload: str = "payload", to: str = "readable") -> DataFrame:

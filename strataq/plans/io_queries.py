@@ -14,7 +14,7 @@ from strataq.plans.corpus import WITH, blocks, current
 from strataq.plans.emit_queries import _CHARS
 from strataq.plans.quality_queries import _boxes, _chars
 from strataq.plans.text_queries import DOC, ORDER
-from strataq.session import scratch_dir
+from strataq.session import scratch_path
 from strataq.sources import elements as I
 from strataq.sources import layout, table
 
@@ -32,17 +32,13 @@ def query(sql: str | None = None):
     return add
 
 
-def _folder(spark, name: str) -> str:
-    return f"{scratch_dir(spark)}/strataq-{name}-{uuid.uuid4().hex}"
-
-
 # --- files ----------------------------------------------------------------------
 
 
 @query(f"{WITH} SELECT id, type, title, source.section AS section, data.rule AS rule, len(data.conditions) AS n_conditions, len(data.rows) AS n_rows, cardinality(data.parameters)::INT AS n_parameters FROM cur")
 def json_round_trip(spark, d):
     """Elements written as JSON files and read again: none is lost, none is changed."""
-    where = _folder(spark, "json")
+    where = scratch_path(spark, "json")
     I.write_elements_json(current(spark, d), where)
     back = I.read_elements(spark, where)
     n = lambda c: F.when(F.col(c).isNotNull(), F.size(c))
@@ -52,7 +48,7 @@ def json_round_trip(spark, d):
 @query(f"{WITH} SELECT source.standard AS standard, source.chapter AS chapter, count(*) AS n FROM cur WHERE source.standard IS NOT NULL AND source.chapter = 3 GROUP BY 1, 2")
 def partitioned_write(spark, d):
     """Elements written by standard and chapter; a chapter is read back from its own folders."""
-    where = _folder(spark, "parts")
+    where = scratch_path(spark, "parts")
     I.write_elements(current(spark, d), where)
     return spark.read.parquet(where).filter("chapter = 3 and standard is not null").groupBy("standard", "chapter").agg(F.count(F.lit(1)).alias("n"))
 
@@ -85,7 +81,7 @@ def streamed_loads(spark, d):
     name = f"loads_{uuid.uuid4().hex}"
     stream = streaming.element_stream(spark, f"{d}/elements.parquet*")
     counted = streaming.loads_per_window(stream, late="3650 days")
-    counted.writeStream.outputMode("complete").format("memory").queryName(name).option("checkpointLocation", _folder(spark, "stream")).trigger(availableNow=True).start().awaitTermination()
+    counted.writeStream.outputMode("complete").format("memory").queryName(name).option("checkpointLocation", scratch_path(spark, "stream")).trigger(availableNow=True).start().awaitTermination()
     return spark.table(name).select("standard", F.col("window.start").cast("timestamp_ntz").alias("day"), "n")
 
 

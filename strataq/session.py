@@ -56,6 +56,14 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(3 * want)
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; what is written there goes with ``release``, or when the driver ends."""
+    if not _written:
+        atexit.register(release, spark)
+    _written.append(f"{scratch_dir(spark)}/strataq-{name}-{uuid.uuid4().hex}")
+    return _written[-1]
+
+
 def durable(df: DataFrame, by: str | None = None) -> DataFrame:
     """Cut the lineage: write ``df`` to the shared folder and read it back.
 
@@ -64,12 +72,9 @@ def durable(df: DataFrame, by: str | None = None) -> DataFrame:
     files go with ``release``, or when the driver ends.
     """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/strataq-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "table")
     writer = df.write.mode("overwrite")
     (writer.partitionBy(by) if by else writer).parquet(path)
-    if not _written:
-        atexit.register(release, spark)
-    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

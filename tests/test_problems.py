@@ -206,17 +206,17 @@ def test_ids_in_any_order_need_only_forests_of_bounded_size(spark, monkeypatch):
 @pytest.mark.parametrize("shape", ["chain", "cycle", "hub", "forest"])
 def test_scattered_shapes_over_several_levels(spark, monkeypatch, shape):
     rnd = random.Random(6)
-    n = 700
+    n = 420
     links = {
         "chain": {i: i - 1 if i else None for i in range(n)},
-        "cycle": {i: (i + 1) % 300 if i < 300 else i - 37 if i < 600 else None for i in range(n)},
+        "cycle": {i: (i + 1) % 200 if i < 200 else i - 37 if i < 360 else None for i in range(n)},
         "hub": {i: None if i == 0 else 0 if i % 3 == 0 else i - 1 for i in range(n)},
         "forest": {i: "gone" if i % 7 == 0 else i - 1 for i in range(n)},
     }[shape]
     links = scattered(rnd, links)
     seen = task_sizes(monkeypatch)
-    assert hierarchy_of(spark, links, True, 200) == chains(links)
-    assert max(seen) <= 200
+    assert hierarchy_of(spark, links, True, 150) == chains(links)
+    assert max(seen) <= 150
 
 
 def test_hierarchy_edges(spark):
