@@ -39,8 +39,8 @@ def query(sql: str | None = None):
 def json_round_trip(spark, d):
     """Elements written as JSON files and read again: none is lost, none is changed."""
     where = scratch_path(spark, "json")
-    I.write_elements_json(current(spark, d), where)
-    back = I.read_elements(spark, where)
+    I.write_elements_json(current(spark, d), where, compression="gzip")
+    back = I.read_elements(spark, where, lines=True)
     n = lambda c: F.when(F.col(c).isNotNull(), F.size(c))
     return back.select("id", "type", "title", F.col("source.section").alias("section"), "data.rule", n("data.conditions").cast("bigint").alias("n_conditions"), n("data.rows").cast("bigint").alias("n_rows"), n("data.parameters").alias("n_parameters"))
 

@@ -66,14 +66,15 @@ def _typed(raw: DataFrame) -> DataFrame:
     )
 
 
-def read_elements(spark: SparkSession, path: str) -> DataFrame:
+def read_elements(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Element rows of JSON files, each an array of elements or one element.
 
     ``seq`` is the place in the file, ``file`` its path and ``chapter_of_file`` the
     number in a name ``ch<n>``.  A file that can't be read gives no row; see
-    ``unreadable``.
+    ``unreadable``.  ``lines``: the files are known to hold a value a line, as
+    ``write_elements_json`` writes them; then a task holds a line, not a file.
     """
-    whole = _whole(spark, path).filter("j is not null")
+    whole = (_lines if lines else _whole)(spark, path).filter("j is not null")
     items = whole.select("file", F.posexplode(F.expr("coalesce(try_variant_get(j, '$', 'array<variant>'), array(j))")).alias("seq", "e"))
     return _typed(items).withColumn("chapter_of_file", F.regexp_extract("file", r"ch(\d+)[^/]*$", 1).try_cast("int"))
 
@@ -90,6 +91,11 @@ def _whole(spark: SparkSession, path: str) -> DataFrame:
     return text.select("file", F.explode_outer(one).alias("v")).select("file", F.expr("try_parse_json(v)").alias("j"))
 
 
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, j) of each line that isn't blank: what ``_whole`` gives of files with a value a line, whatever their size."""
+    return spark.read.text(path).filter(F.trim("value") != "").select(F.col("_metadata.file_path").alias("file"), F.expr("try_parse_json(value)").alias("j"))
+
+
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
     """Valid gold elements, by file name; unreadable and invalid files are skipped."""
     rows = validate(read_elements(spark, path))
@@ -126,10 +132,10 @@ def as_json() -> Column:
     return F.to_json(F.struct(*top, data.alias("data")))
 
 
-def write_elements_json(elements: DataFrame, path: str, by: str | None = None, mode: str = "overwrite") -> None:
+def write_elements_json(elements: DataFrame, path: str, by: str | None = None, mode: str = "overwrite", compression: str = "none") -> None:
     """One JSON object a line; ``by`` (as ``id`` for gold rows) puts each value in a folder of its own."""
     w = elements.select(as_json().alias("value"), *([by] if by else [])).write.mode(mode)
-    (w.partitionBy(by) if by else w).text(path)
+    (w.partitionBy(by) if by else w).text(path, compression=compression)
 
 
 def changed_rows(before: DataFrame, after: DataFrame, key: str = "id") -> DataFrame:

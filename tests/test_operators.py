@@ -347,6 +347,23 @@ def test_json_round_trip(spark, tmp_path):
     assert "<td>1</td>" in IO.checkpoint_page(spark.createDataFrame([("d", 1)], "doc string, chapter int"))
 
 
+def test_json_lines_are_read_line_by_line(spark, tmp_path, monkeypatch):
+    from strataq import session
+    from strataq.plans import registry as queries
+    from strataq.sources import elements as IO
+
+    rows = [element("a", data={"rule": "r\nof two lines", "conditions": []}), element("b", title=None), element("c", source={"section": None})]
+    elements(spark, *rows).write.parquet(f"{tmp_path}/elements.parquet")
+    IO.write_elements_json(elements(spark, *rows), f"{tmp_path}/out", compression="gzip")
+    (tmp_path / "out" / "more.txt").write_text('{"id": "d"}\n\n{broken\r\n[{"id": "e"}, {"id": "f"}]\n  \n')
+    kept = lambda **k: sorted(map(str, IO.read_elements(spark, f"{tmp_path}/out", **k).drop("raw").collect()))
+    assert kept(lines=True) == kept() and len(kept()) == 6
+    monkeypatch.setattr(IO, "_whole", None)
+    got = queries.queries()["json_round_trip"](spark, str(tmp_path))
+    assert pairs(got.select("id", "title", "section", "rule", "n_conditions")) == pairs(elements(spark, *rows).select("id", "title", "source.section", "data.rule", F.when(F.col("data.conditions").isNotNull(), F.size("data.conditions"))))
+    assert all(f.endswith(".gz") for f in spark.read.text(session._written[-1]).inputFiles())
+
+
 def test_layout_rows(spark, tmp_path):
     from strataq.sources import layout as L
 
