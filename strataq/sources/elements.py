@@ -7,6 +7,7 @@ from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from strataq.functions.text import html_escape
 from strataq.operators.quality import validate
@@ -114,9 +115,25 @@ def table_or_empty(spark: SparkSession, name: str, schema: str) -> DataFrame:
 
 
 def write_elements(elements: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Parquet by standard and chapter: what later reads prune by."""
+    """Parquet by standard and chapter: what later reads prune by.
+
+    Rows are ranged by place first, so a folder gets one file (more only where it is
+    larger than a task's range or lies across two), not one from each task.
+    """
     named = elements.withColumns({"standard": F.col("source.standard"), "chapter": F.col("source.chapter")})
-    named.write.mode(mode).partitionBy("standard", "chapter").parquet(path)
+    named.repartitionByRange("standard", "chapter", "id").write.mode(mode).partitionBy("standard", "chapter").parquet(path)
+
+
+def read_chapter(spark: SparkSession, path: str, chapter: int, schema: StructType) -> DataFrame:
+    """One chapter of what ``write_elements`` wrote (rows of ``schema``); only its own folders are listed.
+
+    ``standard`` is the folder's, where blank and null are one; ``source.standard`` tells them apart.
+    """
+    placed = StructType([*schema.fields, StructField("standard", StringType()), StructField("chapter", IntegerType())])
+    folders = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/standard=*/chapter={chapter}")
+    if not folders.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).globStatus(folders):
+        return spark.createDataFrame([], placed)
+    return spark.read.schema(placed).option("basePath", path).parquet(folders.toString())
 
 
 def as_json() -> Column:

@@ -364,6 +364,25 @@ def test_json_lines_are_read_line_by_line(spark, tmp_path, monkeypatch):
     assert all(f.endswith(".gz") for f in spark.read.text(session._written[-1]).inputFiles())
 
 
+def test_folders_get_one_file(spark, tmp_path):
+    from strataq.plans import registry as queries
+    from strataq.sources import elements as IO
+
+    place = [(s, c) for s in ("7", "10", "a/b", "", None) for c in (1, 3, None)]
+    rows = [element(f"{n}-{i}", source={"standard": s, "chapter": c}) for n in range(40) for i, (s, c) in enumerate(place)]
+    df = elements(spark, *rows).repartition(20)
+    df.write.parquet(f"{tmp_path}/elements.parquet")
+    IO.write_elements(df, f"{tmp_path}/out")
+    folders = [f for f in (tmp_path / "out").rglob("chapter=*") if f.is_dir()]
+    files = list((tmp_path / "out").rglob("*.parquet"))
+    assert len(folders) == 12 and len(files) <= len(folders) + int(spark.conf.get("spark.sql.shuffle.partitions"))
+    back = spark.read.schema(df.schema).parquet(f"{tmp_path}/out")
+    assert pairs(back.select("id", "source.standard", "source.chapter")) == pairs(df.select("id", "source.standard", "source.chapter"))
+    got = queries.queries()["partitioned_write"](spark, str(tmp_path))
+    assert pairs(got) == pairs(spark.createDataFrame([("7", 3, 40), ("10", 3, 40), ("a/b", 3, 40), ("", 3, 40)], "standard string, chapter int, n bigint"))
+    assert IO.read_chapter(spark, f"{tmp_path}/out", 9, df.schema).count() == 0
+
+
 def test_layout_rows(spark, tmp_path):
     from strataq.sources import layout as L
 
